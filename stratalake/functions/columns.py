@@ -23,9 +23,12 @@ def lenient_cast(value: Column, source: T.DataType, target: T.DataType) -> Colum
     """
     if source == target:
         return value
+    number = value.try_cast(target)
     if isinstance(source, T.StringType) and isinstance(target, _WHOLE_NUMBERS):
-        value = F.regexp_replace(value, r"(\d)\.\d*(\s*)$", "$1$2")
-    return value.try_cast(target)
+        # Only values that are no plain number come to the pattern.
+        whole = F.regexp_replace(value, r"(\d)\.\d*(\s*)$", "$1$2").try_cast(target)
+        number = F.coalesce(number, whole)
+    return number
 
 
 def normalise_code(value: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratalake.functions import column, gap, target_of_year
@@ -31,19 +31,21 @@ def realised_vs_target(gaps: DataFrame, key: str, year: str, realised: str) -> D
     )
 
 
-def top_bottom(gaps: DataFrame, key: str, n: int) -> DataFrame:
-    """The ``n`` largest and ``n`` smallest gaps with their rank; rows without a target take no part.
+def top_bottom(gaps: DataFrame, key: str, year: str, n: int) -> DataFrame:
+    """The ``n`` largest and ``n`` smallest gaps of each year with their rank.
 
-    Each half is a distributed top-n (every task keeps n rows); only those 2n rows are ranked. Ties go
-    to the smaller key.
+    Rows without a target take no part; ties go to the smaller key. Because only the first ``n`` ranks
+    are kept, every map task drops the rest of its rows before the shuffle, so a year with most of the
+    rows reaches its task as a few rows per map task.
     """
-    ranked = gaps.where(F.col("gap").isNotNull()).select(column(key), "gap")
-    halves = []
-    for label, order in (("top", F.desc("gap")), ("bottom", F.asc("gap"))):
-        half = ranked.orderBy(order, column(key).asc()).limit(n).withColumn("ranking", F.lit(label))
-        position = F.row_number().over(Window.partitionBy("ranking").orderBy(order, column(key).asc()))
-        halves.append(half.withColumn("position", position))
-    return halves[0].unionByName(halves[1])
+    candidates = gaps.where(F.col("gap").isNotNull()).select(column(year), column(key), "gap")
+
+    def half(label: str, order: Column) -> DataFrame:
+        by_gap = Window.partitionBy(column(year)).orderBy(order, column(key).asc())
+        ranked = candidates.withColumn("position", F.row_number().over(by_gap)).where(F.col("position") <= n)
+        return ranked.withColumn("ranking", F.lit(label))
+
+    return half("top", F.desc("gap")).unionByName(half("bottom", F.asc("gap")))
 
 
 def by_region(gaps: DataFrame, regions: DataFrame, key: str, year: str, realised: str) -> DataFrame:

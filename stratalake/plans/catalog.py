@@ -401,6 +401,5 @@ def report_by_region(spark, sf_dir):
 
 @query
 def report_top_bottom(spark, sf_dir):
-    """The five largest and smallest state gaps of 2024, the year the published ranking uses."""
-    gaps = _state_gaps(spark, sf_dir).where(F.col("ano") == tables.TARGET_YEARS[0])
-    return report.top_bottom(gaps, "sigla_uf", 5)
+    """The five largest and smallest state gaps of every year."""
+    return report.top_bottom(_state_gaps(spark, sf_dir), "sigla_uf", "ano", 5)

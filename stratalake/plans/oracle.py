@@ -145,7 +145,7 @@ FROM (SELECT count(*) AS n FROM {source} GROUP BY {", ".join(keys)} HAVING count
 _EVENT_TYPE = """CASE event_type WHEN 'view' THEN 'dados_aluno' WHEN 'click' THEN 'dados_municipio'
   WHEN 'purchase' THEN 'dados_indicadores' WHEN 'signup' THEN 'dados_itens' ELSE 'unknown' END"""
 _EVENT_TIME = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')"
-_EVENT_UF = "CASE WHEN value >= 0.05 THEN CAST(user_id AS INTEGER) END AS CO_UF"
+_EVENT_UF = "CASE WHEN value >= 0.05 THEN TRY_CAST(user_id AS INTEGER) END AS CO_UF"
 _EVENT_HEAD = f"CAST(year(ts) AS INTEGER) AS ano, {_EVENT_UF}, 'RO' AS sigla_uf"
 
 
@@ -216,7 +216,7 @@ FROM events WHERE event_type = 'view'""",
         "silver_event_item": _event(
             "dados_itens",
             "signup",
-            """'4A' AS CO_BLOCO, CAST(day(ts) AS INTEGER) AS NU_POSICAO, CAST(event_id AS INTEGER) AS CO_ITEM,
+            """'4A' AS CO_BLOCO, CAST(day(ts) AS INTEGER) AS NU_POSICAO, TRY_CAST(event_id AS INTEGER) AS CO_ITEM,
                1 AS TP_DISCIPLINA, props AS NU_DESCR_ITEM, 'B' AS TX_GABARITO, value / 4 AS NU_PARAM_A1,
                -value AS NU_PARAM_B1, 0 AS IN_ITEM_COMUM""",
             "value >= 1",
@@ -331,14 +331,14 @@ FROM events WHERE event_type = 'view'""",
             "state_gaps",
         ),
         "report_top_bottom": _with(
-            f"""SELECT sigla_uf, gap, ranking, position FROM (
-                  SELECT sigla_uf, gap, 'top' AS ranking,
-                         CAST(row_number() OVER (ORDER BY gap DESC, sigla_uf) AS INTEGER) AS position
-                  FROM state_gaps WHERE gap IS NOT NULL AND ano = {tables.TARGET_YEARS[0]}
+            """SELECT ano, sigla_uf, gap, ranking, position FROM (
+                  SELECT ano, sigla_uf, gap, 'top' AS ranking,
+                         CAST(row_number() OVER (PARTITION BY ano ORDER BY gap DESC, sigla_uf) AS INTEGER) AS position
+                  FROM state_gaps WHERE gap IS NOT NULL
                   UNION ALL
-                  SELECT sigla_uf, gap, 'bottom' AS ranking,
-                         CAST(row_number() OVER (ORDER BY gap, sigla_uf) AS INTEGER) AS position
-                  FROM state_gaps WHERE gap IS NOT NULL AND ano = {tables.TARGET_YEARS[0]})
+                  SELECT ano, sigla_uf, gap, 'bottom' AS ranking,
+                         CAST(row_number() OVER (PARTITION BY ano ORDER BY gap, sigla_uf) AS INTEGER) AS position
+                  FROM state_gaps WHERE gap IS NOT NULL)
                 WHERE position <= 5""",
             "state_gaps",
         ),

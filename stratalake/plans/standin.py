@@ -199,10 +199,11 @@ EVENT_KINDS = {
 
 def event_payloads(events: DataFrame) -> DataFrame:
     """One binary ``body`` per event, as a message bus would deliver it. Works on streams too."""
+    kind = F.coalesce(*[F.when(F.col("event_type") == given, F.lit(k)) for given, k in EVENT_KINDS.items()])
     field = {
-        "tipo_mensagem": None,
+        "tipo_mensagem": kind,
         "NU_ANO": F.year("ts"),
-        "CO_UF": F.when(F.col("value") >= 0.05, F.col("user_id").cast("int")),
+        "CO_UF": F.when(F.col("value") >= 0.05, F.col("user_id").try_cast("int")),
         "SG_UF": F.when(F.col("value") < 10, F.lit(" ro ")).otherwise(F.lit("RO")),
         "ID_ALUNO": F.col("event_id"),
         "TP_SERIE": F.lit(2),
@@ -219,7 +220,7 @@ def event_payloads(events: DataFrame) -> DataFrame:
         "PC_ALUNO_NIVEL_8_LP": F.col("value") / 8,
         "CO_BLOCO": F.lit("4A"),
         "NU_POSICAO": F.dayofmonth("ts"),
-        "CO_ITEM": F.when(F.col("value") >= 1, F.col("event_id").cast("int")),
+        "CO_ITEM": F.when(F.col("value") >= 1, F.col("event_id").try_cast("int")),
         "TP_DISCIPLINA": F.lit(1),
         "NU_DESCR_ITEM": F.col("props"),
         "TX_GABARITO": F.lit("B"),
@@ -228,13 +229,14 @@ def event_payloads(events: DataFrame) -> DataFrame:
         "IN_ITEM_COMUM": F.lit(0),
         "timestamp_evento": F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
     }
-    cases = []
-    for source, kind in EVENT_KINDS.items():
-        fields = {**field, "tipo_mensagem": F.lit(kind)}
-        names = tables.EVENTS[kind].schema.fieldNames()
-        text = F.to_json(F.struct(*[fields[name].alias(name) for name in names]))
-        cases.append(F.when(F.col("event_type") == source, text))
+
+    def where_declared(name):
+        given = [g for g, k in EVENT_KINDS.items() if name in tables.EVENTS[k].schema.fieldNames()]
+        return F.when(F.col("event_type").isin(given), field[name]).alias(name)
+
+    # One JSON text with the fields of the event's own type: NULL fields are left out.
+    typed = F.to_json(F.struct(*[where_declared(name) for name in field]))
     untyped = F.to_json(F.struct(field["timestamp_evento"].alias("timestamp_evento")))
     broken = F.concat(F.lit("<event "), F.col("event_id").cast("string"), F.lit(">"))
-    payload = F.coalesce(*cases, F.when(F.col("value") < 10, broken).otherwise(untyped))
+    payload = F.when(kind.isNotNull(), typed).when(F.col("value") < 10, broken).otherwise(untyped)
     return events.select(payload.cast("binary").alias("body"))

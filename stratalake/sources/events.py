@@ -12,28 +12,21 @@ RAW_PAYLOAD = "_raw_data"
 
 
 def decode_events(stored: DataFrame, schema: T.StructType) -> DataFrame:
-    """The fields of ``schema`` for every stored event, from its raw payload or from flat columns.
-
-    An event whose payload is missing or not JSON gives NULLs. Where a stored event has both forms the
-    payload wins.
-    """
-    payload = F.from_json(column(RAW_PAYLOAD), schema)
-    present = set(stored.columns)
-
-    def value(field: T.StructField):
-        decoded = F.col("_payload").getField(field.name)
-        if field.name in present:
-            decoded = F.coalesce(decoded, column(field.name))
-        return decoded.alias(field.name)
-
-    return stored.withColumn("_payload", payload).select(*[value(f) for f in schema.fields])
+    """The fields of ``schema`` from the raw payload of every stored event; NULLs where it is not JSON."""
+    return stored.select(F.from_json(column(RAW_PAYLOAD), schema).alias("event")).select(
+        *[F.col("event").getField(name).alias(name) for name in schema.fieldNames()]
+    )
 
 
 def read_events(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Events of one type from its folder of JSON lines.
 
-    Lines may hold the event itself or an envelope with the event as text. Only declared fields are
-    returned: the ingestion day is not part of an event, so a redelivered event equals its first copy.
+    Lines may hold the event itself or an envelope with the event as text; where a line has both forms
+    the envelope wins. Only declared fields are returned: the ingestion day is not part of an event, so
+    a redelivered event equals its first copy.
     """
-    stored = T.StructType([T.StructField(RAW_PAYLOAD, T.StringType()), *schema.fields])
-    return decode_events(spark.read.schema(stored).json(path), schema)
+    lines = spark.read.schema(T.StructType([T.StructField(RAW_PAYLOAD, T.StringType()), *schema.fields])).json(path)
+    both = lines.select("*", F.from_json(column(RAW_PAYLOAD), schema).alias("_event"))
+    return both.select(
+        *[F.coalesce(F.col("_event").getField(name), column(name)).alias(name) for name in schema.fieldNames()]
+    )
