@@ -6,10 +6,9 @@ The raw tables come from the shared derivations; everything after that is writte
 from __future__ import annotations
 
 from stratalake.plans import literacy_tables as tables
-from stratalake.plans.standin import RAW_SQL
+from stratalake.plans.standin import INPUTS, RAW_SQL, raw_sql
 
-_NAMES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
-_TABLES = {name: name for name in _NAMES}
+_TABLES = {name: name for name in INPUTS}
 _METAS = [f"{tables.TARGET_PREFIX}{y}" for y in tables.TARGET_YEARS]
 
 
@@ -26,7 +25,7 @@ _TARGET_OF_YEAR = "CASE ano " + " ".join(f"WHEN {y} THEN {m}" for y, m in zip(ta
 
 # Building blocks: name -> (blocks it reads, SELECT).
 _BLOCKS: dict[str, tuple[tuple[str, ...], str]] = {
-    **{f"raw_{name}": ((), sql.format(**_TABLES)) for name, sql in RAW_SQL.items()},
+    **{f"raw_{name}": ((), raw_sql(name, _TABLES, explode="unnest", series="generate_series")) for name in RAW_SQL},
     "uf": (
         ("raw_uf",),
         """SELECT TRY_CAST(ano AS INTEGER) AS ano, upper(trim(sigla_uf)) AS sigla_uf,

@@ -1,7 +1,7 @@
 """Literacy-shaped raw tables derived from the order / customer / line-item / event tables.
 
-The derivations are plain SQL that Spark and other engines read alike, so a check can prepare the same
-inputs elsewhere. Dirt that cleaning must handle comes from the content: deliveries that arrive twice,
+The derivations are plain SQL that Spark and other engines read alike but for the names of two functions,
+so a check can prepare the same inputs elsewhere. Dirt that cleaning must handle comes from the content: deliveries that arrive twice,
 keys missing for some statuses, padded lower-case codes of some regions, text where a number is due.
 Years move to the range that has targets.
 """
@@ -27,10 +27,17 @@ def _targets(base: str, step: float, years=tables.TARGET_YEARS) -> str:
     )
 
 
+def _copies(times: str) -> str:
+    """Column that repeats each row ``times`` times: a second delivery without a second scan."""
+    return f"{{explode}}({{series}}(1, {times})) AS delivery_no"
+
+
 def _percent(part: str, whole: str = "n") -> str:
     return f"CAST({part} AS DOUBLE) * CAST(100 AS DOUBLE) / CAST({whole} AS DOUBLE)"
 
 
+_META_NAMES = [f"{tables.TARGET_PREFIX}{y}" for y in tables.TARGET_YEARS]
+
 _STATUS_COUNTS = (
     "count(*) AS n, count(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS n_f, "
     "count(CASE WHEN o_orderstatus = 'O' THEN 1 END) AS n_o, "
@@ -69,23 +76,22 @@ delivery AS (
          CAST(total AS DOUBLE) / CAST(n AS DOUBLE) AS media_portugues
   FROM per_state
 )
-SELECT * FROM delivery UNION ALL SELECT * FROM delivery WHERE rede = '5'""",
+SELECT ano, sigla_uf, serie, rede, taxa_alfabetizacao, media_portugues
+FROM (SELECT *, {_copies("CASE WHEN rede = '5' THEN 2 ELSE 1 END")} FROM delivery) AS d""",
     "municipio": f"""
-WITH delivery AS (
+WITH sent AS (
+  SELECT *, {_copies("CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 2 END")} FROM {{orders}}
+)
   SELECT CAST({_year("o_orderdate")} AS STRING) AS ano,
          CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '4-NOT SPECIFIED' THEN NULL
               ELSE CAST(o_custkey AS STRING) END AS id_municipio,
-         CASE o_orderstatus WHEN 'F' THEN '2' WHEN 'O' THEN '5' ELSE 'n/d' END AS serie,
+         CASE WHEN o_orderstatus = 'F' THEN '2' WHEN o_orderstatus = 'P' THEN 'n/d'
+              WHEN delivery_no = 1 THEN '5' ELSE '9' END AS serie,
          CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '2-HIGH' THEN 'Estadual'
               ELSE substr(o_orderpriority, 1, 1) END AS rede,
          o_totalprice / CAST(5000 AS DOUBLE) AS taxa_alfabetizacao,
          o_totalprice AS media_portugues
-  FROM {{orders}}
-)
-SELECT * FROM delivery
-UNION ALL SELECT * FROM delivery WHERE serie = '2'
-UNION ALL SELECT ano, id_municipio, '9' AS serie, rede, taxa_alfabetizacao, media_portugues
-          FROM delivery WHERE serie = '5'""",
+  FROM sent""",
     "meta_brasil": f"""
 WITH national AS (
   SELECT {_year("o_orderdate")} AS y, substr(o_orderpriority, 1, 1) AS code, {_STATUS_COUNTS}
@@ -96,7 +102,8 @@ delivery AS (
          {_percent("n_f")} AS taxa_alfabetizacao, {_targets(_percent("n_o"), 0.25)}
   FROM national
 )
-SELECT * FROM delivery UNION ALL SELECT * FROM delivery""",
+SELECT ano, rede, taxa_alfabetizacao, {", ".join(_META_NAMES)}
+FROM (SELECT *, {_copies("2")} FROM delivery) AS d""",
     "meta_por_uf": f"""
 WITH {_PER_STATE},
 delivery AS (
@@ -109,7 +116,8 @@ delivery AS (
          {_percent("n_p")} AS percentual_participacao
   FROM per_state WHERE code = '5' AND r_name <> 'AFRICA'
 )
-SELECT * FROM delivery UNION ALL SELECT * FROM delivery""",
+SELECT ano, sigla_uf, rede, taxa_alfabetizacao, {", ".join(_META_NAMES)}, percentual_participacao
+FROM (SELECT *, {_copies("2")} FROM delivery) AS d""",
     "meta_por_municipio": f"""
 WITH agreed AS (
   SELECT o_custkey, {_year("o_orderdate")} AS y, {_STATUS_COUNTS}
@@ -121,7 +129,9 @@ delivery AS (
          CAST(n AS INT) AS nivel_alfabetizacao, {_percent("n_p")} AS percentual_participacao
   FROM agreed
 )
-SELECT * FROM delivery UNION ALL SELECT * FROM delivery WHERE nivel_alfabetizacao = 1""",
+SELECT ano, id_municipio, rede, taxa_alfabetizacao, {", ".join(_META_NAMES)}, nivel_alfabetizacao,
+       percentual_participacao
+FROM (SELECT *, {_copies("CASE WHEN nivel_alfabetizacao = 1 THEN 2 ELSE 1 END")} FROM delivery) AS d""",
     "ts_municipio": """
 WITH entity AS (
   SELECT c_custkey AS id, c_nationkey AS nation_id, c_mktsegment AS segment, c_acctbal AS balance FROM {customer}
@@ -148,7 +158,9 @@ SELECT p_partkey AS CO_ITEM, p_brand AS CO_BLOCO, p_size AS NU_POSICAO, p_type A
        p_retailprice AS NU_PARAM_A1
 FROM {part}""",
     "ts_aluno": f"""
-WITH delivery AS (
+WITH sent AS (
+  SELECT *, {_copies("CASE WHEN l_tax > CAST(0.05 AS DOUBLE) THEN 2 ELSE 1 END")} FROM {{lineitem}}
+)
   SELECT {_year("l_shipdate")} AS NU_ANO_AVALIACAO,
          l_linenumber AS CO_UF,
          CASE WHEN l_returnflag = 'R' THEN concat(' ', lower(l_returnflag), l_linestatus, ' ')
@@ -169,12 +181,15 @@ WITH delivery AS (
          l_tax AS VL_PESO_ALUNO_LP,
          CASE WHEN l_discount = 0 THEN NULL ELSE l_quantity END AS VL_PROFICIENCIA_LP,
          CASE WHEN l_returnflag = 'A' THEN 1 ELSE 0 END AS IN_ALFABETIZADO
-  FROM {{lineitem}}
-)
-SELECT * FROM delivery UNION ALL SELECT * FROM delivery WHERE VL_PESO_ALUNO_LP > CAST(0.05 AS DOUBLE)""",
+  FROM sent""",
 }
 
-_INPUTS = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+INPUTS = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+
+
+def raw_sql(name: str, table_names: dict[str, str], explode: str, series: str) -> str:
+    """The derivation of raw table ``name`` for an engine with these table and function names."""
+    return RAW_SQL[name].format(**table_names, explode=explode, series=series)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -183,8 +198,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Raw literacy table ``name``."""
-    sql = RAW_SQL[name]
-    return spark.sql(sql, **{t: table(spark, sf_dir, t) for t in _INPUTS if "{" + t + "}" in sql})
+    sql = raw_sql(name, {t: "{" + t + "}" for t in INPUTS}, explode="explode", series="sequence")
+    return spark.sql(sql, **{t: table(spark, sf_dir, t) for t in INPUTS if "{" + t + "}" in sql})
 
 
 # Event type of the given events to the event type of the literacy stream. "error" has none: part of it is
