@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.functions import column
-from stratalake.operators.clean import require_columns
+from stratalake.operators.clean import all_present, require_columns
+from stratalake.specs import TableSpec
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -67,6 +68,26 @@ def volume(df: DataFrame) -> DataFrame:
     )
 
 
+def cleaning_effect(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Rows before and after cleaning, and why rows go: a required key is missing, or they are copies.
+
+    One pass: the rows are grouped as cleaning groups them, and the group sizes tell both counts.
+    """
+    groups = df.groupBy(*[column(name) for name in df.columns]).agg(F.count(F.lit(1)).alias("_copies"))
+    keyed = all_present(spec.required)
+    copies = F.col("_copies")
+
+    def total(value: Column) -> Column:
+        return F.coalesce(F.sum(value), F.lit(0))
+
+    return groups.agg(
+        total(copies).alias("rows_before"),
+        total(F.when(~keyed, copies)).alias("rows_without_key"),
+        total(F.when(keyed, copies - 1)).alias("surplus_copies"),
+        F.count_if(keyed).alias("rows_after"),
+    )
+
+
 def fact_profile(df: DataFrame, key: str, measure: str, period: str) -> DataFrame:
     """Rows, missing keys, missing measures, measure range and covered periods of a fact."""
     per_period = df.groupBy(column(period).alias("period")).agg(

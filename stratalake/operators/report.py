@@ -13,9 +13,12 @@ from stratalake.functions import column, gap, target_of_year
 def with_gap(
     fact: DataFrame, realised: str, target_prefix: str, years: Iterable[int], year: str
 ) -> DataFrame:
-    """The fact with ``target`` (that of the row's own year) and ``gap``; both NULL without a target."""
+    """The fact with ``target`` (that of the row's own year) and ``gap``; both NULL without a target.
+
+    The gap is the plain difference: rounding it would move values on a rounding edge.
+    """
     return fact.withColumn("target", target_of_year(column(year), target_prefix, years)).withColumn(
-        "gap", F.round(gap(column(realised), F.col("target")), 2)
+        "gap", gap(column(realised), F.col("target"))
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -292,14 +293,25 @@ def dq_orphans_null_key(spark, sf_dir):
 
 @query
 def dq_volume(spark, sf_dir):
-    parts = [
-        quality.volume(standin.raw(spark, sf_dir, name)).select(F.lit(name).alias("dataset"), "row_count", "status")
-        for name in standin.RAW_SQL
-    ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    return reduce(
+        DataFrame.unionByName,
+        [
+            quality.volume(standin.raw(spark, sf_dir, name)).select(F.lit(name).alias("dataset"), "*")
+            for name in standin.RAW_SQL
+        ],
+    )
+
+
+@query
+def dq_cleaning_effect(spark, sf_dir):
+    """Rows of every cleaned table before and after cleaning."""
+    return reduce(
+        DataFrame.unionByName,
+        [
+            quality.cleaning_effect(standin.raw(spark, sf_dir, name), spec).select(F.lit(name).alias("dataset"), "*")
+            for name, spec in CLEANED.items()
+        ],
+    )
 
 
 @query

@@ -5,11 +5,13 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.operators import quality
+from stratalake.plans import literacy_tables as tables
 
 REPORT_SCHEMA = (
     "dataset string, check string, subject string, value bigint, severity string, elapsed_s double, message string"
@@ -42,10 +44,7 @@ def findings(df: DataFrame, watch: Watch) -> DataFrame:
             .unpivot([], ["duplicate_groups", "surplus_rows"], "subject", "value")
             .select(F.lit("duplicates").alias("check"), "subject", "value")
         )
-    result = checks[0]
-    for check in checks[1:]:
-        result = result.unionByName(check)
-    return result
+    return reduce(DataFrame.unionByName, checks)
 
 
 def _severity(check: str, value: int) -> str:
@@ -83,8 +82,6 @@ def monitor(spark: SparkSession, watches: Mapping[str, Watch], fail_fast: bool =
 
 def literacy_watches(spark: SparkSession, silver: str) -> dict[str, Watch]:
     """The cleaned literacy tables; of the microdata only the critical columns are profiled."""
-    from stratalake.plans import literacy_tables as tables
-
     def reader(name):
         return lambda: spark.read.parquet(f"{silver}/{name}")
 
@@ -105,9 +102,8 @@ def literacy_relations(spark: SparkSession, silver: str) -> DataFrame:
         "municipio x meta_por_municipio": ("municipio", "meta_por_municipio", ["ano", "id_municipio"]),
         "ts_aluno x municipio": ("ts_aluno", "municipio", [("CO_MUNICIPIO", "id_municipio")]),
     }
-    result = None
-    for label, (left, right, keys) in relations.items():
-        summary = quality.orphan_summary(table(left), table(right), keys)
-        summary = summary.select(F.lit(label).alias("relation"), "*")
-        result = summary if result is None else result.unionByName(summary)
-    return result
+    summaries = [
+        quality.orphan_summary(table(left), table(right), keys).select(F.lit(label).alias("relation"), "*")
+        for label, (left, right, keys) in relations.items()
+    ]
+    return reduce(DataFrame.unionByName, summaries)

@@ -106,7 +106,7 @@ _BLOCKS: dict[str, tuple[tuple[str, ...], str]] = {
     "state_gaps": (
         ("fact_state",),
         f"""SELECT sigla_uf, ano, taxa_realizada, {_TARGET_OF_YEAR} AS target,
-                   round(taxa_realizada - {_TARGET_OF_YEAR}, 2) AS gap
+                   (taxa_realizada - {_TARGET_OF_YEAR}) AS gap
             FROM fact_state WHERE rede = '{tables.STATE_NETWORKS[5]}'""",
     ),
 }
@@ -141,6 +141,26 @@ def _duplicates(source: str, keys) -> str:
 FROM (SELECT count(*) AS n FROM {source} GROUP BY {", ".join(keys)} HAVING count(*) > 1)"""
 
 
+_REQUIRED = {
+    "uf": ("ano", "sigla_uf"),
+    "municipio": ("ano", "id_municipio"),
+    "meta_brasil": ("ano",),
+    "meta_por_uf": ("ano", "sigla_uf"),
+    "meta_por_municipio": ("ano", "id_municipio"),
+    "ts_municipio": ("NU_ANO_AVALIACAO", "CO_MUNICIPIO"),
+    "ts_estado": ("NU_ANO_AVALIACAO", "CO_UF"),
+    "ts_aluno": ("ID_ALUNO", "CO_MUNICIPIO"),
+}
+
+
+def _effect(name: str, keys) -> str:
+    keyed = " AND ".join(f"{key} IS NOT NULL" for key in keys)
+    distinct = f"(SELECT count(*) FROM (SELECT DISTINCT * FROM raw_{name} WHERE {keyed}))"
+    return f"""SELECT '{name}' AS dataset, count(*) AS rows_before,
+       count(*) FILTER (WHERE NOT ({keyed})) AS rows_without_key,
+       count(*) FILTER (WHERE {keyed}) - {distinct} AS surplus_copies, {distinct} AS rows_after FROM raw_{name}"""
+
+
 _EVENT_TYPE = """CASE event_type WHEN 'view' THEN 'dados_aluno' WHEN 'click' THEN 'dados_municipio'
   WHEN 'purchase' THEN 'dados_indicadores' WHEN 'signup' THEN 'dados_itens' ELSE 'unknown' END"""
 _EVENT_TIME = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')"
@@ -280,6 +300,10 @@ FROM events WHERE event_type = 'view'""",
             ),
             *[f"raw_{name}" for name in RAW_SQL],
         ),
+        "dq_cleaning_effect": _with(
+            " UNION ALL ".join(_effect(name, keys) for name, keys in _REQUIRED.items()),
+            *[f"raw_{name}" for name in _REQUIRED],
+        ),
         "dq_fact_profile": _with(
             """SELECT count(*) AS row_count, count(*) - count(id_municipio) AS null_keys,
                       count(*) - count(taxa_realizada) AS null_measures, min(taxa_realizada) AS min_measure,
@@ -294,13 +318,13 @@ FROM events WHERE event_type = 'view'""",
         "event_stream_student": _STUDENT_EVENT,
         "report_gap": _with(
             f"""SELECT id_municipio, ano, rede, taxa_realizada, {_TARGET_OF_YEAR} AS target,
-                       round(taxa_realizada - {_TARGET_OF_YEAR}, 2) AS gap FROM fact_entity""",
+                       (taxa_realizada - {_TARGET_OF_YEAR}) AS gap FROM fact_entity""",
             "fact_entity",
         ),
         "report_target_hit": _with(
             f"""SELECT sigla_uf, ano, rede, {_TARGET_OF_YEAR} AS target,
-                       round(taxa_realizada - {_TARGET_OF_YEAR}, 2) AS gap,
-                       CAST(round(taxa_realizada - {_TARGET_OF_YEAR}, 2) >= 0 AS INTEGER) AS hit
+                       (taxa_realizada - {_TARGET_OF_YEAR}) AS gap,
+                       CAST((taxa_realizada - {_TARGET_OF_YEAR}) >= 0 AS INTEGER) AS hit
                 FROM fact_state""",
             "fact_state",
         ),

@@ -8,29 +8,35 @@ from math import ceil
 
 from pyspark.sql import SparkSession
 
-# Bytes one shuffle task should hold after decompression. Small enough that a sort or a hash
-# aggregate of it fits in one core's share of executor memory.
-SHUFFLE_TASK_BYTES = 200 * 1024**2
-SCAN_TASK_BYTES = 256 * 1024**2
+MIB = 1024**2
+# Bytes one shuffle task should hold: small enough to sort in one core's share of executor memory.
+SHUFFLE_TASK_BYTES = 200 * MIB
+# Above this many tasks the blocks between map and reduce side get too small and the driver's table of
+# them too large; then tasks grow instead, and sorts and aggregates spill.
+MAX_SHUFFLE_TASKS = 50_000
+SCAN_TASK_BYTES = (256 * MIB, 1024 * MIB)
 
 
-def recommended_settings(input_bytes: int, total_cores: int) -> dict[str, str]:
-    """Spark settings for a job that shuffles about ``input_bytes``.
+def recommended_settings(shuffle_bytes: int, total_cores: int) -> dict[str, str]:
+    """Spark settings for a job whose largest shuffle moves about ``shuffle_bytes``.
 
-    The shuffle starts wide (one task per ``SHUFFLE_TASK_BYTES``, never fewer than the cores) and AQE
-    merges what turns out to be small, splits skewed join partitions and picks broadcast joins from
-    measured sizes.
+    The shuffle starts wide and AQE merges what turns out to be small, splits skewed join partitions and
+    switches to broadcast joins by measured size. Before a measurement exists Spark goes by file sizes;
+    Parquet grows in memory, so those are multiplied before they are held against the broadcast limit.
     """
-    partitions = max(total_cores, ceil(input_bytes / SHUFFLE_TASK_BYTES))
+    wanted = ceil(shuffle_bytes / SHUFFLE_TASK_BYTES)
+    partitions = max(total_cores, min(wanted, MAX_SHUFFLE_TASKS))
+    task_bytes = max(SHUFFLE_TASK_BYTES, ceil(shuffle_bytes / partitions))
+    low, high = SCAN_TASK_BYTES
     return {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLE_TASK_BYTES),
-        "spark.sql.files.maxPartitionBytes": str(SCAN_TASK_BYTES),
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(task_bytes),
+        "spark.sql.files.maxPartitionBytes": str(min(max(low, task_bytes), high)),
+        "spark.sql.sources.fileCompressionFactor": "5.0",
     }
 
 

@@ -109,3 +109,16 @@ def test_null_profile_can_come_from_parquet_footers(spark, tmp_path, settings):
     profile = quality.null_profile(spark.read.parquet(path))
     assert rows(profile) == [("k", 1), ("v", 1)]
     assert "PushedAggregation: [COUNT(*), COUNT(k), COUNT(v)]" in plan_of(profile)
+
+
+def test_cleaning_effect_explains_every_row(spark):
+    from stratalake.operators.clean import clean
+    from stratalake.plans import literacy_tables as tables
+
+    raw = standin.raw(spark, SMALL, "municipio")
+    effect = quality.cleaning_effect(raw, tables.MUNICIPIO).first().asDict()
+    assert effect["rows_before"] == raw.count()
+    assert effect["rows_after"] == clean(raw, tables.MUNICIPIO).count()
+    assert effect["rows_before"] - effect["rows_without_key"] - effect["surplus_copies"] == effect["rows_after"]
+    assert min(effect.values()) > 0
+    assert rows(quality.cleaning_effect(raw.limit(0), tables.MUNICIPIO)) == [(0, 0, 0, 0)]

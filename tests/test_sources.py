@@ -115,4 +115,17 @@ def test_work_folders_are_fresh_and_shared(spark):
 def test_settings_follow_the_amount_of_data():
     small, large = recommended_settings(10**9, 64), recommended_settings(100 * 10**12, 8000)
     assert small["spark.sql.shuffle.partitions"] == "64"
-    assert int(large["spark.sql.shuffle.partitions"]) > 400000
+    assert large["spark.sql.shuffle.partitions"] == "50000"
+    assert int(large["spark.sql.adaptive.advisoryPartitionSizeInBytes"]) == 2 * 10**9
+    assert int(large["spark.sql.files.maxPartitionBytes"]) == 1024**3
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    class Conf(dict):
+        get = dict.get
+
+    class Session:
+        conf = Conf({"spark.master": "yarn"})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_folder(Session(), "x")
