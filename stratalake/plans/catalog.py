@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from stratalake.functions import column
 from stratalake.operators import quality, report
 from stratalake.operators.clean import clean, presence_split
-from stratalake.plans import literacy, standin
+from stratalake.plans import literacy, monitoring, standin
 from stratalake.plans import literacy_tables as tables
 from stratalake.session import work_folder
 from stratalake.sources import (
@@ -291,6 +291,30 @@ def dq_orphans_null_key(spark, sf_dir):
     )
 
 
+@query
+def dq_orphans_fact_dimension(spark, sf_dir):
+    """Whether every municipality of the fact is in the dimension."""
+    return quality.orphan_summary(
+        fact_entity_target(spark, sf_dir), dim_entity(spark, sf_dir), ["id_municipio"]
+    )
+
+
+@query
+def dq_monitor_report(spark, sf_dir):
+    """The monitoring report of three given tables and of one that is not there, without the times."""
+    keys = {
+        "customer": ["c_custkey"],
+        "orders": ["o_custkey", "o_orderdate"],
+        "lineitem": ["l_orderkey", "l_linenumber"],
+        "absent": ["key"],
+    }
+    watches = {
+        name: monitoring.Watch(lambda name=name: standin.table(spark, sf_dir, name), key)
+        for name, key in keys.items()
+    }
+    return monitoring.monitor(spark, watches).drop("elapsed_s", "message")
+
+
 @query
 def dq_volume(spark, sf_dir):
     return reduce(

@@ -91,19 +91,31 @@ def literacy_watches(spark: SparkSession, silver: str) -> dict[str, Watch]:
     return watches
 
 
-def literacy_relations(spark: SparkSession, silver: str) -> DataFrame:
-    """Which relations between cleaned tables are broken: (relation, orphan_keys, orphan_rows, has_orphans)."""
+def relations(table: Callable[[str], DataFrame], checked: Mapping[str, tuple[str, str, Sequence]]) -> DataFrame:
+    """(relation, orphan_keys, orphan_rows, has_orphans) of every (table, reference table, keys)."""
+    summaries = [
+        quality.orphan_summary(table(left), table(right), keys).select(F.lit(label).alias("relation"), "*")
+        for label, (left, right, keys) in checked.items()
+    ]
+    return reduce(DataFrame.unionByName, summaries)
 
-    def table(name):
-        return spark.read.parquet(f"{silver}/{name}")
 
-    relations = {
+def literacy_relations(spark: SparkSession, silver: str) -> DataFrame:
+    """Realised rows without a target of their state or municipality, students of unknown municipalities."""
+    checked = {
         "uf x meta_por_uf": ("uf", "meta_por_uf", ["ano", "sigla_uf"]),
         "municipio x meta_por_municipio": ("municipio", "meta_por_municipio", ["ano", "id_municipio"]),
         "ts_aluno x municipio": ("ts_aluno", "municipio", [("CO_MUNICIPIO", "id_municipio")]),
     }
-    summaries = [
-        quality.orphan_summary(table(left), table(right), keys).select(F.lit(label).alias("relation"), "*")
-        for label, (left, right, keys) in relations.items()
-    ]
-    return reduce(DataFrame.unionByName, summaries)
+    return relations(lambda name: spark.read.parquet(f"{silver}/{name}"), checked)
+
+
+def star_relations(spark: SparkSession, gold: str) -> DataFrame:
+    """Fact keys that the dimensions lack."""
+    checked = {
+        "fato_indicador x dim_municipio": ("fato_indicador", "dim_municipio", ["id_municipio"]),
+        "fato_indicador x dim_tempo": ("fato_indicador", "dim_tempo", ["ano"]),
+        "fato_indicador_uf x dim_uf": ("fato_indicador_uf", "dim_uf", ["sigla_uf"]),
+        "fato_aluno_agregado x dim_municipio": ("fato_aluno_agregado", "dim_municipio", ["id_municipio"]),
+    }
+    return relations(lambda name: spark.read.parquet(f"{gold}/{name}"), checked)

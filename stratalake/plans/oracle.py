@@ -161,6 +161,19 @@ def _effect(name: str, keys) -> str:
        count(*) FILTER (WHERE {keyed}) - {distinct} AS surplus_copies, {distinct} AS rows_after FROM raw_{name}"""
 
 
+def _monitored(name: str, columns, keys) -> str:
+    """Report rows of one table."""
+    parts = [
+        f"SELECT 'volume' AS kind, 'rows' AS subject, count(*) AS n FROM {name}",
+        *[f"SELECT 'nulls', '{c}', count(*) - count({c}) FROM {name}" for c in columns],
+    ]
+    for measure in ("duplicate_groups", "surplus_rows"):
+        parts.append(f"SELECT 'duplicates', '{measure}', {measure} FROM ({_duplicates(name, keys)})")
+    return f"""SELECT '{name}' AS dataset, kind AS "check", subject, n AS value,
+       CASE WHEN (kind = 'volume') = (n > 0) THEN 'ok' ELSE 'alert' END AS severity
+FROM ({" UNION ALL ".join(parts)})"""
+
+
 _EVENT_TYPE = """CASE event_type WHEN 'view' THEN 'dados_aluno' WHEN 'click' THEN 'dados_municipio'
   WHEN 'purchase' THEN 'dados_indicadores' WHEN 'signup' THEN 'dados_itens' ELSE 'unknown' END"""
 _EVENT_TIME = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')"
@@ -292,6 +305,39 @@ FROM events WHERE event_type = 'view'""",
             "raw_municipio",
             "raw_meta_por_municipio",
         ),
+        "dq_orphans_fact_dimension": _with(
+            """SELECT count(*) AS orphan_keys, CAST(coalesce(sum(n), 0) AS BIGINT) AS orphan_rows,
+                      count(*) > 0 AS has_orphans
+               FROM (SELECT id_municipio, count(*) AS n FROM fact_entity f
+                     WHERE NOT EXISTS (SELECT 1 FROM municipio m WHERE m.id_municipio = f.id_municipio)
+                     GROUP BY ALL)""",
+            "fact_entity",
+            "municipio",
+        ),
+        "dq_monitor_report": " UNION ALL ".join(
+            [
+                _monitored(
+                    "customer",
+                    ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"),
+                    ("c_custkey",),
+                ),
+                _monitored(
+                    "orders",
+                    ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"),
+                    ("o_custkey", "o_orderdate"),
+                ),
+                _monitored(
+                    "lineitem",
+                    (
+                        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                        "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+                    ),
+                    ("l_orderkey", "l_linenumber"),
+                ),
+                "SELECT 'absent', 'read_failed', NULL, NULL, 'alert'",
+                "SELECT 'total', 'latency', NULL, NULL, 'ok'",
+            ]
+        ),
         "dq_volume": _with(
             " UNION ALL ".join(
                 f"SELECT '{name}' AS dataset, count(*) AS row_count, "

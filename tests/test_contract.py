@@ -14,7 +14,8 @@ import __spark_entry__ as contract
 import check
 
 QUERIES = contract.queries()
-WRITING = {name for name in QUERIES if name.startswith(("bronze_", "batch_", "event_stream_")) or name == "fact_year_pruned"}
+# These run jobs of their own; what they return is a read or a finished report.
+RUNNING = {name for name in QUERIES if name.startswith(("bronze_", "batch_", "event_stream_")) or name in ("fact_year_pruned", "dq_monitor_report")}
 
 
 @pytest.fixture(scope="module")
@@ -42,7 +43,7 @@ def test_entry(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n not in WRITING])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in RUNNING])
 def test_plans_have_no_cross_join_python_or_cache(spark, settings, name):
     """Without broadcasts, as on large inputs, every join is an equi-join over a shuffle."""
     settings(spark__sql__autoBroadcastJoinThreshold="-1")

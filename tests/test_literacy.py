@@ -89,6 +89,15 @@ def test_monitoring_of_the_silver_layer(spark, pipeline):
     assert relations == {"uf x meta_por_uf": True, "municipio x meta_por_municipio": True, "ts_aluno x municipio": True}
 
 
+def test_gold_facts_point_into_their_dimensions(spark, pipeline):
+    layers, _ = pipeline
+    found = {r["relation"]: r["orphan_keys"] for r in monitoring.star_relations(spark, layers.gold).collect()}
+    # Students come from municipalities that have no realised row, so the dimension lacks some of them.
+    assert found.pop("fato_aluno_agregado x dim_municipio") > 0
+    assert found == {"fato_indicador x dim_municipio": 0, "fato_indicador x dim_tempo": 0,
+                     "fato_indicador_uf x dim_uf": 0}
+
+
 def test_events_from_stream_to_silver(spark, pipeline, tmp_path):
     layers = literacy.Layers(*(str(tmp_path / name) for name in ("bronze", "silver", "gold")))
     source = f"{SMALL}/{{events.parquet}}"

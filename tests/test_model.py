@@ -65,6 +65,12 @@ def test_distinct_before_the_join_equals_distinct_after_it(spark, left, right):
     assert rows(got) == rows(want)
 
 
+def test_unique_targets_keep_the_row_count(spark):
+    realised = spark.range(200).select((F.col("id") % 20).alias("k"), F.col("id").alias("m"))
+    goals = spark.range(0, 20, 3).select(F.col("id").alias("k"), F.lit(1).alias("t"))
+    assert model.fact_vs_target(realised, goals, ["k"], {"m": "m"}, {"t": "t"}).count() == 200
+
+
 def test_a_hot_key_is_split_over_tasks_and_nothing_is_lost(spark, settings):
     settings(spark__sql__autoBroadcastJoinThreshold="-1",
              spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
