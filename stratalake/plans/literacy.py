@@ -118,7 +118,7 @@ def run_bronze_events(spark: SparkSession, store: str, layers: Layers) -> dict[s
     """Decode the stored events of each type into a typed Parquet table."""
     written = {}
     for kind, spec in tables.EVENTS.items():
-        typed = read_events(spark, f"{store}/tipo_mensagem={kind}", spec.schema)
+        typed = read_events(spark, store, kind, spec.schema)
         written[spec.name] = write_parquet(typed, f"{layers.bronze}/{spec.name}")
     return written
 

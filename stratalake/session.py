@@ -34,6 +34,7 @@ def recommended_settings(shuffle_bytes: int, total_cores: int) -> dict[str, str]
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(task_bytes),
         "spark.sql.files.maxPartitionBytes": str(min(max(low, task_bytes), high)),
         "spark.sql.sources.fileCompressionFactor": "5.0",

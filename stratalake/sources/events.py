@@ -8,7 +8,9 @@ from pyspark.sql import types as T
 
 from stratalake.functions import column
 
+# The columns of a stored event that hold its text and its type.
 RAW_PAYLOAD = "_raw_data"
+TYPE_COLUMN = "tipo_mensagem"
 
 
 def decode_events(stored: DataFrame, schema: T.StructType) -> DataFrame:
@@ -18,14 +20,17 @@ def decode_events(stored: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
-def read_events(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Events of one type from its folder of JSON lines.
+def read_events(spark: SparkSession, store: str, event_type: str, schema: T.StructType) -> DataFrame:
+    """Events of one type from an event store of JSON lines.
 
+    The store is read from its root: there Spark finds the log of what the stream committed, so files of
+    a failed attempt do not count, and the filter on the type leaves only that type's folders to read.
     Lines may hold the event itself or an envelope with the event as text; where a line has both forms
     the envelope wins. Only declared fields are returned: the ingestion day is not part of an event, so
     a redelivered event equals its first copy.
     """
-    lines = spark.read.schema(T.StructType([T.StructField(RAW_PAYLOAD, T.StringType()), *schema.fields])).json(path)
+    fields = [T.StructField(RAW_PAYLOAD, T.StringType()), *schema.fields]
+    lines = spark.read.schema(T.StructType(fields)).json(store).where(column(TYPE_COLUMN) == event_type)
     both = lines.select("*", F.from_json(column(RAW_PAYLOAD), schema).alias("_event"))
     return both.select(
         *[F.coalesce(F.col("_event").getField(name), column(name)).alias(name) for name in schema.fieldNames()]

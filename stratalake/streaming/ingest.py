@@ -7,12 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stratalake.functions import column
-from stratalake.sources.events import RAW_PAYLOAD
+from stratalake.sources.events import RAW_PAYLOAD, TYPE_COLUMN
 from stratalake.sources.writers import ingestion_columns
 
-# Where the type of an event stands, the column it is stored under, and the sink folders.
+# Fixed value: where the type stands in an event.
 TYPE_PATH = "$.tipo_mensagem"
-TYPE_COLUMN = "tipo_mensagem"
 UNKNOWN_TYPE = "unknown"
 PARTITION_COLUMNS = (TYPE_COLUMN, "ingest_year", "ingest_month", "ingest_day")
 
@@ -36,7 +35,6 @@ def start_ingest(
     path: str,
     checkpoint: str,
     payload: str = "body",
-    file_format: str = "json",
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Start appending the streaming frame ``raw`` to ``path``.
@@ -47,7 +45,7 @@ def start_ingest(
     """
     writer = (
         envelope(raw, payload)
-        .writeStream.format(file_format)
+        .writeStream.format("json")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .partitionBy(*PARTITION_COLUMNS)

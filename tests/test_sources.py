@@ -52,6 +52,18 @@ def test_write_counts_its_rows_and_overwrites(spark, tmp_path):
     assert read_parquet(spark, path).count() == 3
 
 
+@pytest.mark.parametrize("make", [
+    lambda s: s.createDataFrame([], "id int, ano int"),
+    lambda s: s.createDataFrame([(1, 2024)], "id int, ano int").where("false"),
+    lambda s: s.createDataFrame([(1, 2024)], "id int, ano int").where("id > 1").dropDuplicates(),
+])
+def test_empty_tables_can_be_written(spark, tmp_path, make):
+    path, parted = str(tmp_path / "t"), str(tmp_path / "p")
+    assert write_parquet(make(spark), path) == 0
+    assert read_parquet(spark, path).count() == 0
+    assert write_partitioned(make(spark), parted, "ano") == 0
+
+
 def test_rewriting_one_partition_keeps_the_others(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.createDataFrame([(1, 2023), (2, 2024)], "id int, ano int")

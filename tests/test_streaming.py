@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import rows
+from conftest import plan_of, rows
 from pyspark.sql import functions as F
 
 from stratalake.operators.clean import clean
@@ -54,7 +54,7 @@ def test_every_event_type_survives_store_and_cleaning(spark, tmp_path, kind, spe
     again = tmp_path / f"tipo_mensagem={kind}" / "ingest_year=2026" / "ingest_month=07" / "ingest_day=02"
     again.mkdir()
     (again / "b.json").write_text(lines[0] + "\n")
-    typed = read_events(spark, str(tmp_path / f"tipo_mensagem={kind}"), spec.schema)
+    typed = read_events(spark, str(tmp_path), kind, spec.schema)
     assert typed.schema == spec.schema and typed.count() == 3
     cleaned = clean(typed, spec)
     assert cleaned.count() == 1
@@ -83,8 +83,27 @@ def test_stream_restart_reads_only_what_is_new(spark, tmp_path):
     assert rows(spark.read.json(str(store)).groupBy("tipo_mensagem").count()) == [("dados_aluno", 1), ("unknown", 2)]
     (landing / "2.txt").write_text(json.dumps({**STUDENT, "ID_ALUNO": 2}) + "\n")
     run(spark, landing, store, checkpoint)
-    students = read_events(spark, str(store / "tipo_mensagem=dados_aluno"), tables.DADOS_ALUNO.schema)
+    students = read_events(spark, str(store), "dados_aluno", tables.DADOS_ALUNO.schema)
     assert rows(students, "ID_ALUNO", "VL_PROFICIENCIA") == [(10000001, 650.123), (2, 650.123)]
     stored = spark.read.json(str(store))
     assert {"_raw_data", "_bronze_timestamp", "ingest_year", "ingest_month", "ingest_day"} <= set(stored.columns)
     assert stored.where("_bronze_timestamp IS NULL").count() == 0
+
+
+def test_files_of_a_failed_attempt_are_not_read(spark, tmp_path):
+    landing, store = tmp_path / "landing", tmp_path / "store"
+    landing.mkdir()
+    (landing / "1.txt").write_text(BODIES[0] + "\n")
+    run(spark, landing, store, tmp_path / "checkpoint")
+    committed = next((store / "tipo_mensagem=dados_aluno").rglob("*.json"))
+    (committed.parent / "part-00000-left-over.json").write_text(committed.read_text())
+    assert read_events(spark, str(store), "dados_aluno", tables.DADOS_ALUNO.schema).count() == 1
+
+
+def test_reading_one_type_prunes_the_others(spark, tmp_path):
+    landing, store = tmp_path / "landing", tmp_path / "store"
+    landing.mkdir()
+    (landing / "1.txt").write_text("\n".join(BODIES[:3]) + "\n")
+    run(spark, landing, store, tmp_path / "checkpoint")
+    events = read_events(spark, str(store), "dados_aluno", tables.DADOS_ALUNO.schema)
+    assert "(tipo_mensagem" in plan_of(events).split("PartitionFilters")[1].split("PushedFilters")[0]
