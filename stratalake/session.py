@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 from math import ceil
 
 from pyspark.sql import SparkSession
@@ -60,6 +61,11 @@ def local_session(cores: int | str = "*", app_name: str = "stratalake", **settin
     return spark
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="stratalake-")
+
+
 def work_folder(spark: SparkSession, label: str) -> str:
     """A fresh sub-folder of the cluster's shared folder, for tables a job writes and reads back.
 
@@ -70,6 +76,5 @@ def work_folder(spark: SparkSession, label: str) -> str:
     if not shared:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="stratalake-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        shared = _local_folder()
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"

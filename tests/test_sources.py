@@ -119,9 +119,24 @@ def test_ingestion_day_is_utc_whatever_the_session_zone(spark, tmp_path, setting
             f"{now:%Y}", f"{now:%m}", f"{now:%d}")
 
 
-def test_work_folders_are_fresh_and_shared(spark):
-    one, two = work_folder(spark, "x"), work_folder(spark, "x")
-    assert one != two and one.startswith(spark.conf.get("spark.checkpoint.dir"))
+class FakeSession:
+    def __init__(self, **settings):
+        self.conf = {k.replace("__", "."): v for k, v in settings.items()}
+
+
+def test_work_folders_are_fresh_and_shared():
+    session = FakeSession(spark__checkpoint__dir="hdfs:/shared/", spark__master="yarn")
+    one, two = work_folder(session, "x"), work_folder(session, "x")
+    assert one != two and one.startswith("hdfs:/shared/x-") and two.startswith("hdfs:/shared/x-")
+
+
+def test_a_local_session_without_the_setting_gets_a_temporary_folder():
+    assert "stratalake-" in work_folder(FakeSession(spark__master="local[8]"), "x")
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_folder(FakeSession(spark__master="yarn"), "x")
 
 
 def test_settings_follow_the_amount_of_data():
@@ -130,14 +145,3 @@ def test_settings_follow_the_amount_of_data():
     assert large["spark.sql.shuffle.partitions"] == "50000"
     assert int(large["spark.sql.adaptive.advisoryPartitionSizeInBytes"]) == 2 * 10**9
     assert int(large["spark.sql.files.maxPartitionBytes"]) == 1024**3
-
-
-def test_a_cluster_without_a_shared_folder_is_refused():
-    class Conf(dict):
-        get = dict.get
-
-    class Session:
-        conf = Conf({"spark.master": "yarn"})
-
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        work_folder(Session(), "x")
