@@ -31,7 +31,7 @@ def map_texts(
             texts = batch.column(batch.num_columns - 1).to_pylist()
             start = size = 0
             for end, text in enumerate(texts, 1):
-                size += len(text) if text else 0
+                size += len(text) if text else 1
                 if end == len(texts) or end - start >= slice_rows or size >= SLICE_CHARS:
                     part = batch.slice(start, end - start)
                     given = [part.column(i).to_pylist() for i in range(batch.num_columns - 1)] + [texts[start:end]]

@@ -70,7 +70,7 @@ def exact_top_k(vectors: DataFrame, k: int = 5, query_every: int = 50, id_column
     spark = vectors.sparkSession
     quantised = vectors.select(vectors[id_column].cast("long").alias("vec_id"), vectors[vector_column].alias("v")).where(
         F.col("vec_id").isNotNull() & F.col("v").isNotNull()
-        & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+        & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf")))
     )
     single = quantised.select("vec_id", _quantised(F.col("v")).alias("v")).groupBy("vec_id").agg(F.min("v").alias("v"))
 

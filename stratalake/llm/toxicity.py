@@ -11,6 +11,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -80,7 +81,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_column: s
     joined = texts.join(F.broadcast(chosen), "doc_id").where(F.col("text").isNotNull())
 
     def terms(ids: list, marked: list, own: list) -> list:
-        lists = [["\n".join(sorted(set(TERM.findall(t[a:b].lower())))).replace("\n", " ") for a, b in sentences(t)] for t in own]
+        lists = [[" ".join(sorted(set(TERM.findall(t[a:b].lower())))) for a, b in sentences(t)] for t in own]
         return [ids, marked, lists]
 
     found = map_texts(joined, ["doc_id", "label", "text"], terms, "doc_id long, label int, sentences array<string>")
@@ -90,6 +91,22 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_column: s
     return fit([[s.split() for s in r["sentences"]] for r in rows], [r["label"] for r in rows])
 
 
+def rated(text: str | None, model: dict, sentence_threshold: float = 0.2) -> tuple[float, int, list[str]]:
+    """A text's score, its number of sentences, and start:end of the offending ones."""
+    weights, bias = model["weights"], model["bias"]
+    clean, found, n = 0.0, [], 0
+    for n, (start, end) in enumerate(sentences(text or ""), 1):
+        known = {w for w in TERM.findall(text[start:end].lower()) if w in weights}
+        if known:
+            z = bias + sum(weights[w] for w in sorted(known))
+            if z > -30:
+                clean -= float(np.logaddexp(0.0, z))
+                chance = float(1 / (1 + np.exp(-z)))
+                if chance >= sentence_threshold:
+                    found.append((-chance, start, end))
+    return float(min(1.0, max(0.0, -np.expm1(clean)))), n, [f"{a}:{b}" for _, a, b in sorted(found)]
+
+
 def score(docs: DataFrame, model: dict, threshold: float = THRESHOLD, sentence_threshold: float = 0.2, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Score every whole text: id, held_out, score, predicted (1 from ``threshold`` on), n_sentences, offending.
 
@@ -100,24 +117,22 @@ def score(docs: DataFrame, model: dict, threshold: float = THRESHOLD, sentence_t
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def rate(ids: list, held: list, texts: list) -> list:
-        weights, bias = shared.value["weights"], shared.value["bias"]
-        scores, counts, located = [], [], []
-        for text in texts:
-            clean, found, n = 0.0, [], 0
-            for start, end in sentences(text or ""):
-                n += 1
-                known = {w for w in TERM.findall(text[start:end].lower()) if w in weights}
-                if known:
-                    z = bias + sum(weights[w] for w in sorted(known))
-                    clean -= float(np.logaddexp(0.0, z)) if z > -30 else 0.0
-                    chance = 1 / (1 + np.exp(-z)) if z > -30 else 0.0
-                    if chance >= sentence_threshold:
-                        found.append((-chance, start, end))
-            scores.append(float(min(1.0, max(0.0, -np.expm1(clean)))))
-            counts.append(n)
-            located.append([f"{a}:{b}" for _, a, b in sorted(found)])
-        return [ids, held, scores, [int(s >= threshold) for s in scores], counts, located]
+        found = [rated(t, shared.value, sentence_threshold) for t in texts]
+        return [ids, held, [f[0] for f in found], [int(f[0] >= threshold) for f in found], [f[1] for f in found], [f[2] for f in found]]
 
     columns = [docs[id_column].cast("long").alias("doc_id"), held_out(id_column).alias("held_out"), docs[text_column].cast("string").alias("text")]
     schema = "doc_id long, held_out boolean, score double, predicted int, n_sentences int, offending array<string>"
     return map_texts(docs, columns, rate, schema).withColumnRenamed("doc_id", id_column)
+
+
+def clean_documents(docs: DataFrame, model: dict, threshold: float = THRESHOLD, text_column: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose whole text scores below ``threshold``; null texts stay. No shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_column)
+
+    def kept(batches):
+        for batch in batches:
+            texts = batch.column(at).to_pylist()
+            yield batch.filter(pa.array([rated(t, shared.value)[0] < threshold for t in texts], pa.bool_()))
+
+    return docs.mapInArrow(kept, docs.schema)
