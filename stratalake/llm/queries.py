@@ -67,14 +67,14 @@ QUERIES = {
 # Top-k over quantised vectors: the query's own row is left out by its id.
 TOP_K_SQL = """
 WITH v AS (
-  SELECT vec_id, min(list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT))) AS v
+  SELECT vec_id, min(list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT))) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
   GROUP BY vec_id
 ), scored AS (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
-         CAST(coalesce(list_sum(list_transform(range(1, least(len(q.v), len(c.v)) + 1), i -> q.v[i] * c.v[i])), 0) AS BIGINT) AS score
+         CAST(coalesce(list_sum(list_transform(range(1, least(len(q.v), len(c.v)) + 1), lambda i: q.v[i] * c.v[i])), 0) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id
   WHERE q.vec_id % 50 = 0
 )
@@ -90,7 +90,7 @@ WITH RECURSIVE words AS (
   FROM documents
 ), shingled AS (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN []
-    ELSE list_distinct(list_transform(range(1, greatest(len(w) - 3, 1) + 1), i -> list_aggregate(w[i:i + 3], 'string_agg', ' '))) END AS s
+    ELSE list_distinct(list_transform(range(1, greatest(len(w) - 3, 1) + 1), lambda i: list_aggregate(w[i:i + 3], 'string_agg', ' '))) END AS s
   FROM words
 ), exploded AS (SELECT doc_id, unnest(s) AS shingle FROM shingled),
 links AS (

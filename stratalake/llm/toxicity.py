@@ -1,6 +1,6 @@
 """Toxicity by multiple-instance learning: only documents have labels, sentences get scores.
 
-A sentence's chance of being toxic is logistic in the known words it holds; a document's is noisy-or, one minus the
+A sentence's chance of being toxic is logistic in the known words and beginnings of words it holds; a document's is noisy-or, one minus the
 product of its sentences' chances of being clean. The weights are fitted to document labels through that product, so
 the gradient reaches a sentence in the measure in which it explains its document.
 """
@@ -20,6 +20,8 @@ from stratalake.llm.common import drawn, label_fractions, map_texts, may_learn,
 SENTENCE = re.compile(r"[^.!?\n]*[.!?\n]+|[^.!?\n]+\Z")
 TERM = re.compile(r"[^\W\d_]+")
 THRESHOLD = 0.3
+# Beginnings of longer words that are terms of their own, marked with a star.
+BEGINNINGS = (4, 5)
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
@@ -27,8 +29,19 @@ def sentences(text: str) -> list[tuple[int, int]]:
     return [m.span() for m in SENTENCE.finditer(text)]
 
 
-def fit(samples: list[list[list[str]]], labels: list[int], min_docs: int = 4, epochs: int = 60, sparsity: float = 2e-4, seed: int = 7) -> dict:
-    """Word weights and bias from documents given as sentences of distinct words, by proximal Adam steps on noisy-or."""
+def terms(sentence: str) -> set[str]:
+    """The distinct words of a sentence in lower case, and their starred beginnings."""
+    words = set(TERM.findall(sentence.lower()))
+    for n in BEGINNINGS:
+        words |= {f"{w[:n]}*" for w in words if len(w) > n and w[-1] != "*"}
+    return words
+
+
+def fit(samples: list[list[list[str]]], labels: list[int], prior: float = 0.5, min_docs: int = 4, epochs: int = 60, sparsity: float = 2e-4, seed: int = 7) -> dict:
+    """Term weights and bias from documents given as sentences of distinct terms, by proximal Adam steps on noisy-or.
+
+    ``prior`` is the share of toxic documents that the sample stands for.
+    """
     seen = Counter(w for doc in samples for w in set().union(*doc))
     words = sorted(w for w, n in seen.items() if n >= min_docs)
     if not words or len(set(labels)) < 2:
@@ -45,7 +58,7 @@ def fit(samples: list[list[list[str]]], labels: list[int], min_docs: int = 4, ep
     flat_ids, owner_ids = np.array(flat), np.array(owner)
     instance = np.repeat(np.arange(len(ends)), np.diff([0, *ends]))
     target = np.array(labels, float)
-    share = np.where(target == 1, 0.5 / max(target.sum(), 1), 0.5 / max((1 - target).sum(), 1))
+    share = np.where(target == 1, prior / max(target.sum(), 1), (1 - prior) / max((1 - target).sum(), 1))
     weights, bias = np.zeros(len(words)), -5.0
     first, second = np.zeros(len(words) + 1), np.zeros(len(words) + 1)
     for step in range(1, epochs + 1):
@@ -74,21 +87,25 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_column: s
     """
     marks = labels.select(labels[id_column].cast("long").alias("doc_id"), labels[label].cast("int").alias("label"))
     marks = marks.where(F.col("label").isin(0, 1) & may_learn()).groupBy("doc_id").agg(F.max("label").alias("label"))
-    chosen = drawn(marks, "label", label_fractions(marks, "label", per_label, 2), "doc_id", salt="toxicity")
+    fractions = label_fractions(marks, "label", per_label, 2)
+    chosen = drawn(marks, "label", fractions, "doc_id", salt="toxicity")
     chosen = chosen.orderBy(uniform("doc_id", salt="order"), "doc_id").limit(bound)
     texts = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text_column].cast("string").alias("text"))
     # The drawn ids are at most ``bound`` rows, so they may be broadcast.
     joined = texts.join(F.broadcast(chosen), "doc_id").where(F.col("text").isNotNull())
 
-    def terms(ids: list, marked: list, own: list) -> list:
-        lists = [[" ".join(sorted(set(TERM.findall(t[a:b].lower())))) for a, b in sentences(t)] for t in own]
-        return [ids, marked, lists]
+    def listed(ids: list, marked: list, own: list) -> list:
+        return [ids, marked, [[" ".join(sorted(terms(t[a:b]))) for a, b in sentences(t)] for t in own]]
 
-    found = map_texts(joined, ["doc_id", "label", "text"], terms, "doc_id long, label int, sentences array<string>")
+    found = map_texts(joined, ["doc_id", "label", "text"], listed, "doc_id long, label int, sentences array<string>")
     size = F.aggregate("sentences", F.lit(0), lambda a, s: a + F.length(s))
-    found = found.where(size <= 8 * max_words).orderBy(uniform("doc_id", salt="order"), "doc_id", "label", "sentences").limit(bound)
+    found = found.where(size <= 20 * max_words).orderBy(uniform("doc_id", salt="order"), "doc_id", "label", "sentences").limit(bound)
     rows = found.collect()
-    return fit([[s.split() for s in r["sentences"]] for r in rows], [r["label"] for r in rows])
+    labels_seen = [r["label"] for r in rows]
+    # Each drawn row stands for as many as its label's fraction says.
+    stands_for = [sum(y == label for y in labels_seen) / max(fractions.get(label, 1.0), 1e-12) for label in (0, 1)]
+    prior = stands_for[1] / max(sum(stands_for), 1e-12)
+    return fit([[s.split() for s in r["sentences"]] for r in rows], labels_seen, min(max(prior, 0.02), 0.98))
 
 
 def rated(text: str | None, model: dict, sentence_threshold: float = 0.2) -> tuple[float, int, list[str]]:
@@ -96,7 +113,7 @@ def rated(text: str | None, model: dict, sentence_threshold: float = 0.2) -> tup
     weights, bias = model["weights"], model["bias"]
     clean, found, n = 0.0, [], 0
     for n, (start, end) in enumerate(sentences(text or ""), 1):
-        known = {w for w in TERM.findall(text[start:end].lower()) if w in weights}
+        known = weights.keys() & terms(text[start:end])
         if known:
             z = bias + sum(weights[w] for w in sorted(known))
             if z > -30:
