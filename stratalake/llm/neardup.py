@@ -7,8 +7,11 @@ both classes share a key made of that chunk with one symbol left out. Keys for a
 pair under the distance meets in at least one. Two texts of similarity 0.8 differ in 9.6 of 48 symbols on average;
 24 or more has a chance of about one in a million.
 
-Sharing a key never means emitting all pairs. Each key's members are first compared with one hub; components of the confirmed links
-follow; only keys whose members still lie in different components are looked at again, and only pairs across components.
+Sharing a key never means emitting all pairs. Each key's members are first compared with one hub, the one with most company over all
+its keys; components of the confirmed links follow; only keys whose members still lie in different components are looked at again, and
+only pairs across components. Keys with at most SMALL members pair them directly. Larger ones, such as those of a passage that many
+texts share, go through an exact prefix filter: texts of that similarity share one of their rarest shingles, as many as
+the similarity lets them miss and one more, in any order of rarity that is the same for all.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratalake.llm.common import map_texts, mixed, window_hashes, word_hashes
@@ -26,7 +29,7 @@ SHINGLE = 4
 SYMBOLS, BITS, CHUNKS = 48, 16, 12
 WIDTH = SYMBOLS // CHUNKS
 DISTANCE = 2 * CHUNKS - 1
-STAR_ROUNDS = 2
+SMALL = 32
 _RANDOM = np.random.default_rng(4711)
 _FACTORS = _RANDOM.integers(1, 2**63, SYMBOLS).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 _MASKS = _RANDOM.integers(1, 2**63, SYMBOLS).astype(np.uint64)
@@ -106,44 +109,56 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         return [keys.reshape(-1), np.repeat(nodes, count), np.repeat(sizes, count)]
 
     keys = _map_rows(classes, ["node", "n", "symbols"], spread, "key long, node long, n long")
-    common = keys.groupBy("key").agg(F.count("*").alias("members"), F.min("node").alias("hub")).where("members > 1").drop("members")
+    common = keys.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     members = stored(keys.join(common, "key"), "members")
 
+    def sets_of(nodes: DataFrame, name: str) -> DataFrame:
+        """node and its shingles, from the texts of the classes' first documents."""
+        wanted = nodes.join(classes, "node").select("node", "digest", "first")
+        own = texts.join(wanted.select("first").distinct(), texts["doc_id"].eqNullSafe(F.col("first")), "left_semi")
+        sets = map_texts(own, ["text"], _sets, "digest binary, shingles array<long>").dropDuplicates(["digest"])
+        return stored(sets.join(wanted.select("node", "digest"), "digest").select("node", "shingles"), name)
+
+    def prefix_pairs(nodes: DataFrame) -> DataFrame:
+        """Pairs across components that share one of their rarest shingles; nodes: node, n, root."""
+        tokens = nodes.join(sets_of(nodes.select("node"), "prefix_sets"), "node").select("node", "n", "root", F.explode("shingles").alias("token"))
+        rarity = tokens.groupBy("token").agg(F.count("*").alias("texts"))
+        place = F.row_number().over(Window.partitionBy("node").orderBy("texts", "token"))
+        prefix = tokens.join(rarity, "token").withColumn("place", place)
+        return crossing(prefix.where((F.col("place") <= F.col("n") - F.ceil(F.col("n") * similarity / 100) + 1) & (F.col("texts") > 1)), "token")
+
+    def crossing(rows: DataFrame, by: str) -> DataFrame:
+        left = rows.select(by, F.col("node").alias("a"), F.col("root").alias("root_a"), F.col("n").alias("n_a"))
+        right = rows.select(by, F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("n").alias("n_b"))
+        similar = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * similarity
+        return left.join(right, by).where((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & similar).select("a", "b")
+
     def confirmed(pairs: DataFrame, name: str) -> DataFrame:
         """The pairs (a < b) that really link: by size, then signature distance, then full sets."""
         side = lambda k: classes.select(F.col("node").alias(k), F.col("n").alias(f"n_{k}"), F.col("symbols").alias(f"s_{k}"))
         differ = F.aggregate(F.zip_with("s_a", "s_b", lambda x, y: (x != y).cast("int")), F.lit(0), lambda t, x: t + x)
         near = pairs.join(side("a"), "a").join(side("b"), "b").where((F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * similarity) & (differ <= DISTANCE))
         near = stored(near.select("a", "b", "n_a", "n_b"), f"{name}_near")
-        needed = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        wanted = needed.join(classes, "node").select("node", "digest", "first")
-        own = texts.join(wanted.select(F.col("first")).distinct(), texts["doc_id"].eqNullSafe(F.col("first")), "left_semi")
-        sets = map_texts(own, ["text"], lambda given: _sets(given), "digest binary, shingles array<long>")
-        sets = stored(sets.dropDuplicates(["digest"]).join(wanted.select("node", "digest"), "digest").select("node", "shingles"), f"{name}_sets")
+        sets = sets_of(near.select(F.explode(F.array("a", "b")).alias("node")).distinct(), f"{name}_sets")
         left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
         right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
         both = near.join(left, "a").join(right, "b").withColumn("shared", F.size(F.array_intersect("x", "y")))
         return stored(both.where(F.col("shared") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("shared")) * similarity).select("a", "b"), name)
 
-    tried = members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    links, tried = confirmed(tried, "links_0"), stored(tried, "tried_0")
-    roots = components(links, f"{folder}/roots_0")
-    for step in range(1, STAR_ROUNDS + 2):
-        placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).drop("hub")
-        split = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max_by("node", F.xxhash64("node", F.lit(step))).alias("hub"), F.max_by("root", F.xxhash64("node", F.lit(step))).alias("hub_root"))
-        split = placed.join(split.where("low <> high").select("key", "hub", "hub_root"), "key")
-        if step <= STAR_ROUNDS:
-            crossing = split.where("root <> hub_root").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
-        else:
-            left = split.select("key", F.col("node").alias("a"), F.col("root").alias("root_a"), F.col("n").alias("n_a"))
-            right = split.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("n").alias("n_b"))
-            crossing = left.join(right, "key").where((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * similarity)).select("a", "b")
-        fresh = stored(crossing.distinct().join(tried, ["a", "b"], "left_anti"), f"tried_{step}")
-        if fresh.isEmpty():
-            continue
-        links = links.unionByName(confirmed(fresh, f"links_{step}"))
-        tried = tried.unionByName(fresh)
-        roots = components(links, f"{folder}/roots_{step}")
+    company = members.groupBy("node").agg(F.sum("members").alias("company"))
+    hubs = members.join(company, "node").groupBy("key").agg(F.max_by("node", F.struct("company", "node")).alias("hub"))
+    tried = members.join(hubs, "key").where("node <> hub").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b"))
+    tried = stored(tried.distinct(), "tried")
+    links = confirmed(tried, "hub_links")
+    roots = components(links, f"{folder}/hub_roots")
+    placed = stored(members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "placed")
+    mixed_keys = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
+    mixed_rows = stored(placed.join(mixed_keys, "key"), "mixed")
+    direct = crossing(mixed_rows.where(F.col("members") <= SMALL), "key")
+    rest = stored(prefix_pairs(mixed_rows.where(F.col("members") > SMALL).select("node", "n", "root").distinct()), "prefix_pairs")
+    fresh = stored(direct.unionByName(rest).distinct().join(tried, ["a", "b"], "left_anti"), "fresh")
+    links = links.unionByName(confirmed(fresh, "crossing_links"))
+    roots = components(links, f"{folder}/roots")
     linked = roots.join(classes.select("node", "first", "digest"), "node")
     smallest = linked.groupBy("root").agg(F.min("first").alias("linked_id"))
     linked = linked.join(smallest, "root").select("node", "linked_id")
