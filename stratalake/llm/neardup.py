@@ -29,7 +29,7 @@ SHINGLE = 4
 SYMBOLS, BITS, CHUNKS = 48, 16, 12
 WIDTH = SYMBOLS // CHUNKS
 DISTANCE = 2 * CHUNKS - 1
-SMALL = 32
+SMALL = 4
 _RANDOM = np.random.default_rng(4711)
 _FACTORS = _RANDOM.integers(1, 2**63, SYMBOLS).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 _MASKS = _RANDOM.integers(1, 2**63, SYMBOLS).astype(np.uint64)
@@ -125,13 +125,16 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         rarity = tokens.groupBy("token").agg(F.count("*").alias("texts"))
         place = F.row_number().over(Window.partitionBy("node").orderBy("texts", "token"))
         prefix = tokens.join(rarity, "token").withColumn("place", place)
-        return crossing(prefix.where((F.col("place") <= F.col("n") - F.ceil(F.col("n") * similarity / 100) + 1) & (F.col("texts") > 1)), "token")
-
-    def crossing(rows: DataFrame, by: str) -> DataFrame:
-        left = rows.select(by, F.col("node").alias("a"), F.col("root").alias("root_a"), F.col("n").alias("n_a"))
-        right = rows.select(by, F.col("node").alias("b"), F.col("root").alias("root_b"), F.col("n").alias("n_b"))
+        prefix = prefix.where((F.col("place") <= F.col("n") - F.ceil(F.col("n") * similarity / 100) + 1) & (F.col("texts") > 1))
+        # At the first shared token, only what comes after it can be shared too; a pair that this leaves too little is no link.
+        after = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+        return crossing(prefix, "token", (1 + after) * (100 + similarity) >= (F.col("n_a") + F.col("n_b")) * similarity)
+
+    def crossing(rows: DataFrame, by: str, also=F.lit(True)) -> DataFrame:
+        left = rows.select(by, F.col("node").alias("a"), *(F.col(c).alias(f"{c}_a") for c in rows.columns if c not in (by, "node")))
+        right = rows.select(by, F.col("node").alias("b"), *(F.col(c).alias(f"{c}_b") for c in rows.columns if c not in (by, "node")))
         similar = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * similarity
-        return left.join(right, by).where((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & similar).select("a", "b")
+        return left.join(right, by).where((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & similar & also).select("a", "b")
 
     def confirmed(pairs: DataFrame, name: str) -> DataFrame:
         """The pairs (a < b) that really link: by size, then signature distance, then full sets."""
@@ -154,7 +157,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     placed = stored(members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "placed")
     mixed_keys = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
     mixed_rows = stored(placed.join(mixed_keys, "key"), "mixed")
-    direct = crossing(mixed_rows.where(F.col("members") <= SMALL), "key")
+    direct = crossing(mixed_rows.where(F.col("members") <= SMALL).select("key", "node", "n", "root"), "key")
     rest = stored(prefix_pairs(mixed_rows.where(F.col("members") > SMALL).select("node", "n", "root").distinct()), "prefix_pairs")
     fresh = stored(direct.unionByName(rest).distinct().join(tried, ["a", "b"], "left_anti"), "fresh")
     links = links.unionByName(confirmed(fresh, "crossing_links"))
