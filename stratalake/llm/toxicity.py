@@ -8,7 +8,8 @@ the gradient reaches a sentence in the measure in which it explains its document
 from __future__ import annotations
 
 import re
-from collections import Counter
+from array import array
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -37,33 +38,49 @@ def terms(sentence: str) -> set[str]:
     return words
 
 
-def fit(samples: list[list[list[str]]], labels: list[int], prior: float = 0.5, min_docs: int = 4, epochs: int = 60, sparsity: float = 2e-4, seed: int = 7) -> dict:
-    """Term weights and bias from documents given as sentences of distinct terms, by proximal Adam steps on noisy-or.
+def fit(samples: Iterable[tuple[list[str], int]], stands_for: tuple[float, float] | None = None, min_docs: int = 4, epochs: int = 60, sparsity: float = 2e-4) -> dict:
+    """Term weights and bias from (sentences as space-separated distinct terms, label), by proximal Adam steps on noisy-or.
 
-    ``prior`` is the share of toxic documents that the sample stands for.
+    Each row is coded as it comes, so only numbers and one copy of each term are held. ``stands_for``: how many documents a
+    row of label 0 and one of label 1 stand for.
     """
-    seen = Counter(w for doc in samples for w in set().union(*doc))
-    words = sorted(w for w, n in seen.items() if n >= min_docs)
-    if not words or len(set(labels)) < 2:
+    index: dict[str, int] = {}
+    seen, flat, ends, owner, labels = array("i"), array("i"), array("q"), array("i"), []
+    for text_sentences, label in samples:
+        in_doc = set()
+        for sentence in text_sentences:
+            for term in sentence.split():
+                number = index.setdefault(term, len(index))
+                if number == len(seen):
+                    seen.append(0)
+                flat.append(number)
+                in_doc.add(number)
+            ends.append(len(flat))
+            owner.append(len(labels))
+        for number in in_doc:
+            seen[number] += 1
+        labels.append(label)
+    known = np.array(seen, np.int64) >= min_docs
+    if not known.any() or len(set(labels)) < 2:
         return {"weights": {}, "bias": -12.0}
-    index = {w: i for i, w in enumerate(words)}
-    flat, ends, owner = [], [], []
-    for d, doc in enumerate(samples):
-        for sentence in doc:
-            known = [index[w] for w in sentence if w in index]
-            if known:
-                flat.extend(known)
-                ends.append(len(flat))
-                owner.append(d)
-    flat_ids, owner_ids = np.array(flat), np.array(owner)
-    instance = np.repeat(np.arange(len(ends)), np.diff([0, *ends]))
+    words = sorted(w for w, i in index.items() if known[i])
+    place = np.zeros(len(known), np.int64)
+    place[[index[w] for w in words]] = np.arange(len(words))
+    all_ids = np.frombuffer(flat, np.int32)
+    all_instances = np.repeat(np.arange(len(ends)), np.diff(np.frombuffer(ends, np.int64), prepend=0))
+    flat_ids, instances = place[all_ids[known[all_ids]]], all_instances[known[all_ids]]
+    # Sentences without a known term are clean and drop out.
+    used, instance = np.unique(instances, return_inverse=True)
+    owner_ids, count = np.frombuffer(owner, np.int32)[used], len(used)
+    amounts = [labels.count(y) * (stands_for[y] if stands_for else 1.0) for y in (0, 1)]
+    prior = min(max(amounts[1] / sum(amounts), 0.02), 0.98)
     target = np.array(labels, float)
     share = np.where(target == 1, prior / max(target.sum(), 1), (1 - prior) / max((1 - target).sum(), 1))
     weights, bias = np.zeros(len(words)), -5.0
     first, second = np.zeros(len(words) + 1), np.zeros(len(words) + 1)
     for step in range(1, epochs + 1):
-        z = bias + np.bincount(instance, weights[flat_ids], len(ends))
-        clean = np.bincount(owner_ids, -np.logaddexp(0, z), len(samples))
+        z = bias + np.bincount(instance, weights[flat_ids], count)
+        clean = np.bincount(owner_ids, -np.logaddexp(0, z), len(labels))
         chance = np.clip(-np.expm1(clean), 1e-9, 1.0)
         # d loss / d log(clean) of a document, then through -log(1 + e^z) to its sentences.
         outer = share * np.where(target == 1, np.exp(clean) / chance, -1.0)
@@ -75,7 +92,7 @@ def fit(samples: list[list[list[str]]], labels: list[int], prior: float = 0.5, m
         weights = weights - move[:-1]
         weights = np.sign(weights) * np.maximum(np.abs(weights) - 0.3 * sparsity / (np.sqrt(second[:-1] / (1 - 0.99**step)) + 1e-4), 0)
         bias -= move[-1]
-    kept = {w: float(weights[i]) for w, i in index.items() if abs(weights[i]) > 1e-3}
+    kept = {w: float(x) for w, x in zip(words, weights) if abs(x) > 1e-3}
     return {"weights": kept, "bias": float(bias)}
 
 
@@ -100,12 +117,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_column: s
     found = map_texts(joined, ["doc_id", "label", "text"], listed, "doc_id long, label int, sentences array<string>")
     size = F.aggregate("sentences", F.lit(0), lambda a, s: a + F.length(s))
     found = found.where(size <= 20 * max_words).orderBy(uniform("doc_id", salt="order"), "doc_id", "label", "sentences").limit(bound)
-    rows = found.collect()
-    labels_seen = [r["label"] for r in rows]
-    # Each drawn row stands for as many as its label's fraction says.
-    stands_for = [sum(y == label for y in labels_seen) / max(fractions.get(label, 1.0), 1e-12) for label in (0, 1)]
-    prior = stands_for[1] / max(sum(stands_for), 1e-12)
-    return fit([[s.split() for s in r["sentences"]] for r in rows], labels_seen, min(max(prior, 0.02), 0.98))
+    stands_for = tuple(1 / max(fractions.get(label, 1.0), 1e-12) for label in (0, 1))
+    return fit(((r["sentences"], r["label"]) for r in found.toLocalIterator()), stands_for)
 
 
 def rated(text: str | None, model: dict, sentence_threshold: float = 0.2) -> tuple[float, int, list[str]]:
