@@ -26,7 +26,8 @@ def lenient_cast(value: Column, source: T.DataType, target: T.DataType) -> Colum
     number = value.try_cast(target)
     if isinstance(source, T.StringType) and isinstance(target, _WHOLE_NUMBERS):
         # Only values that are no plain number come to the pattern.
-        whole = F.regexp_replace(value, r"(\d)\.\d*(\s*)$", "$1$2").try_cast(target)
+        led = F.regexp_replace(value, r"^(\s*[-+]?)\.(?=\d)", "$10.")
+        whole = F.regexp_replace(led, r"(\d)\.\d*(\s*)$", "$1$2").try_cast(target)
         number = F.coalesce(number, whole)
     return number
 

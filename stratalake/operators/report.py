@@ -54,9 +54,11 @@ def top_bottom(gaps: DataFrame, key: str, year: str, n: int) -> DataFrame:
 def by_region(gaps: DataFrame, regions: DataFrame, key: str, year: str, realised: str) -> DataFrame:
     """Mean realised value, target and gap per region and year, and how many entities hit their target.
 
-    ``regions`` maps ``key`` to ``region``; entities it does not list form the region "Unknown".
+    ``regions`` maps ``key`` to ``region``; entities it does not list form the region "Unknown". A key listed
+    several times counts once, in its smallest region.
     """
-    mapped = target_hit(gaps).join(regions.select(column(key), "region"), on=key, how="left")
+    single = regions.groupBy(column(key)).agg(F.min("region").alias("region"))
+    mapped = target_hit(gaps).join(single, on=key, how="left")
     return mapped.groupBy(F.coalesce("region", F.lit("Unknown")).alias("region"), column(year)).agg(
         F.round(F.avg(column(realised)), 2).alias("mean_realised"),
         F.round(F.avg("target"), 2).alias("mean_target"),
@@ -69,11 +71,15 @@ def by_region(gaps: DataFrame, regions: DataFrame, key: str, year: str, realised
 def national_kpis(
     national_gaps: DataFrame, students: DataFrame, year: str, realised: str, assessed: str
 ) -> DataFrame:
-    """Per year: national rate, target, gap and the number of assessed students."""
+    """Per year: national rate, target, gap and the number of assessed students.
+
+    The gap is the mean gap of the rows that have a target. Rows of totals and of their parts should not be mixed: filter
+    ``national_gaps`` to one network first.
+    """
     rates = national_gaps.groupBy(column(year)).agg(
         F.round(F.avg(column(realised)), 2).alias("rate"),
         F.round(F.avg("target"), 2).alias("target"),
-        F.round(F.avg(column(realised)) - F.avg("target"), 2).alias("gap"),
+        F.round(F.avg("gap"), 2).alias("gap"),
     )
     counts = students.groupBy(column(year)).agg(F.sum(column(assessed)).alias("assessed_students"))
     return rates.join(counts, on=year, how="left")

@@ -149,5 +149,5 @@ def run_gold(spark: SparkSession, layers: Layers) -> dict[str, int]:
     }
     written = {name: write_parquet(df, f"{layers.gold}/{name}") for name, df in plain.items()}
     fact = fato_indicador(municipio, silver(tables.META_POR_MUNICIPIO))
-    written["fato_indicador"] = write_partitioned(fact, f"{layers.gold}/fato_indicador", "ano")
+    written["fato_indicador"] = write_partitioned(fact, f"{layers.gold}/fato_indicador", "ano", whole=True)
     return written

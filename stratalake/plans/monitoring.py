@@ -52,6 +52,11 @@ def _severity(check: str, value: int) -> str:
     return "ok" if wanted else "alert"
 
 
+def _message(error: Exception) -> str:
+    """The error's type and the first line of its text, if it has any."""
+    return ": ".join([type(error).__name__, *str(error).strip().splitlines()[:1]])
+
+
 def monitor(spark: SparkSession, watches: Mapping[str, Watch], fail_fast: bool = False) -> DataFrame:
     """Report over all tables. A table that cannot be read or scanned gives one ``read_failed`` row.
 
@@ -69,7 +74,7 @@ def monitor(spark: SparkSession, watches: Mapping[str, Watch], fail_fast: bool =
             if fail_fast:
                 raise
             elapsed = time.monotonic() - started
-            rows.append((name, "read_failed", None, None, "alert", elapsed, str(error).splitlines()[0]))
+            rows.append((name, "read_failed", None, None, "alert", elapsed, _message(error)))
             continue
         elapsed = time.monotonic() - started
         rows += [

@@ -383,7 +383,7 @@ FROM events WHERE event_type = 'view'""",
             f"""SELECT n.ano, n.rate, n.target, n.gap, s.assessed_students
                 FROM (SELECT ano, round(avg(taxa_alfabetizacao), 2) AS rate,
                              round(avg({_TARGET_OF_YEAR}), 2) AS target,
-                             round(avg(taxa_alfabetizacao) - avg({_TARGET_OF_YEAR}), 2) AS gap
+                             round(avg(taxa_alfabetizacao - {_TARGET_OF_YEAR}), 2) AS gap
                       FROM (SELECT DISTINCT * FROM meta_brasil) GROUP BY ano) n
                 LEFT JOIN (SELECT ano, CAST(sum(total_alunos_avaliados) AS BIGINT) AS assessed_students
                            FROM fact_student GROUP BY ano) s ON n.ano = s.ano""",

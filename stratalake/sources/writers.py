@@ -16,8 +16,10 @@ def write_parquet(df: DataFrame, path: str) -> int:
     return written.get["rows"]
 
 
-def write_partitioned(df: DataFrame, path: str, *partition_columns: str, rebalance: bool = True) -> int:
-    """Overwrite the partitions present in ``df`` and return the number of rows.
+def write_partitioned(
+    df: DataFrame, path: str, *partition_columns: str, rebalance: bool = True, whole: bool = False
+) -> int:
+    """Overwrite the partitions present in ``df``, or with ``whole`` the table, and return the number of rows.
 
     Without a shuffle each task would write a small file into every partition. Rebalancing gathers a
     partition's rows into files of the advisory size; AQE splits a partition that holds a large share of
@@ -29,7 +31,7 @@ def write_partitioned(df: DataFrame, path: str, *partition_columns: str, rebalan
     (
         df.observe(written, F.count(F.lit(1)).alias("rows"))
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .partitionBy(*partition_columns)
         .parquet(path)
     )
@@ -52,7 +54,12 @@ def land_csv(spark: SparkSession, landing: str, path: str, separator: str = ",",
     """Land a folder of CSV files as Parquet under the ingestion day, and return the number of rows.
 
     Landing again on the same day replaces that day; earlier days stay. All rows go to one day, so
-    the scan tasks write directly, without a shuffle.
+    the scan tasks write directly, without a shuffle. A landed column with the name of an ingestion column is an error.
     """
-    df = read_csv(spark, landing, separator, schema).withColumns(ingestion_columns())
+    df = read_csv(spark, landing, separator, schema)
+    added = ingestion_columns()
+    taken = {name.lower() for name in added} & {name.lower() for name in df.columns}
+    if taken:
+        raise ValueError(f"landed columns have names of ingestion columns: {sorted(taken)}")
+    df = df.withColumns(added)
     return write_partitioned(df, path, "ingest_year", "ingest_month", "ingest_day", rebalance=False)

@@ -47,12 +47,12 @@ def test_text_network_of_target_tables_is_kept_but_cast_in_the_national_one(spar
 
 
 def test_microdata_table_is_renamed_but_its_codes_stay_raw(spark):
-    df = spark.createDataFrame([("2025", "1100023", " ro", "61.5", 2, 3)], "NU_ANO_AVALIACAO string, "
+    df = spark.createDataFrame([("2025", "5300108", " ro", "61.5", 2, 3)], "NU_ANO_AVALIACAO string, "
                                "CO_MUNICIPIO string, SG_UF string, PC_ALUNO_ALFABETIZADO string, TP_SERIE int, "
                                "ID_TIPO_REDE int")
     got = clean(df, tables.TS_MUNICIPIO)
     assert got.columns == ["ano", "id_municipio", "sigla_uf", "PC_ALUNO_ALFABETIZADO", "TP_SERIE", "ID_TIPO_REDE"]
-    assert rows(got) == [(2025, 1100023, " ro", 61.5, 2, 3)]
+    assert rows(got) == [(2025, 5300108, " ro", 61.5, 2, 3)]
 
 
 def test_renaming_onto_an_existing_column_is_refused(spark):

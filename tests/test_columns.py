@@ -21,8 +21,8 @@ def test_text_that_is_no_number_gives_null_under_ansi(spark):
 
 
 def test_text_with_a_fraction_loses_it(spark):
-    values = ["12.7", "-3.9", "5.", "1.2.3", "12.7e3", "7.5 "]
-    assert cast_all(spark, values, T.StringType(), T.IntegerType()) == [12, -3, 5, None, None, 7]
+    values = ["12.7", "-3.9", "5.", "1.2.3", "12.7e3", "7.5 ", ".5", "-.5", "."]
+    assert cast_all(spark, values, T.StringType(), T.IntegerType()) == [12, -3, 5, None, None, 7, 0, 0, None]
 
 
 def test_double_casts(spark):

@@ -50,3 +50,15 @@ def test_state_table(spark):
     got = report.realised_vs_target(gaps(spark, ("SP", 2024, 51.0, 50.0, None)), "sigla_uf", "ano", "taxa")
     assert got.columns == ["sigla_uf", "ano", "realised", "target", "gap", "hit"]
     assert rows(got) == [("SP", 2024, 51.0, 50.0, 1.0, 1)]
+
+
+def test_national_gap_covers_rows_with_a_target_only(spark):
+    national = gaps(spark, ("BR", 2024, 50.0, None, None), ("BR", 2024, 80.0, 90.0, None))
+    students = spark.createDataFrame([(1, 2024, 10)], "id int, ano int, n long")
+    assert rows(report.national_kpis(national, students, "ano", "taxa", "n"), "gap") == [(-10.0,)]
+
+
+def test_a_state_listed_twice_counts_once(spark):
+    regions = spark.createDataFrame([("AC", "Norte"), ("AC", "Norte")], "sigla_uf string, region string")
+    got = report.by_region(gaps(spark, ("AC", 2024, 40.0, 50.0, None)), regions, "sigla_uf", "ano", "taxa")
+    assert rows(got, "region", "with_target") == [("Norte", 1)]

@@ -22,11 +22,11 @@ def test_inferred_csv(spark, tmp_path):
 
 def test_semicolon_csv_with_declared_schema(spark, tmp_path):
     names = tables.TS_ALUNO.schema.fieldNames()
-    values = {"NU_ANO_AVALIACAO": "2025", "SG_UF": "RO", "ID_ALUNO": "10000001", "VL_PROFICIENCIA_LP": "781.7763317"}
+    values = {"NU_ANO_AVALIACAO": "2025", "SG_UF": "RO", "ID_ALUNO": "777", "VL_PROFICIENCIA_LP": "612.25"}
     path = put(tmp_path, "a.csv", ";".join(names) + "\n" + ";".join(values.get(n, "") for n in names) + "\n")
     df = read_csv(spark, path, ";", tables.TS_ALUNO.schema)
     assert df.schema == tables.TS_ALUNO.schema
-    assert rows(df, *values) == [(2025, "RO", 10000001, 781.7763317)]
+    assert rows(df, *values) == [(2025, "RO", 777, 612.25)]
 
 
 def test_header_in_another_order_is_an_error(spark, tmp_path):
@@ -145,3 +145,22 @@ def test_settings_follow_the_amount_of_data():
     assert large["spark.sql.shuffle.partitions"] == "50000"
     assert int(large["spark.sql.adaptive.advisoryPartitionSizeInBytes"]) == 2 * 10**9
     assert int(large["spark.sql.files.maxPartitionBytes"]) == 1024**3
+
+
+def test_quotes_separators_and_line_breaks_stay_in_their_field(spark, tmp_path):
+    path = put(tmp_path, "q.csv", 'id,v\n1,"say ""hi"", x"\n2,"two\nlines"\n')
+    assert rows(read_csv(spark, path, multi_line=True)) == [(1, 'say "hi", x'), (2, "two\nlines")]
+
+
+def test_files_with_other_headers_are_an_error(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    put(tmp_path / "in", "a.csv", "id,v\n1,x\n")
+    put(tmp_path / "in", "b.csv", "v,id\ny,2\n")
+    with pytest.raises(Exception, match="header"):
+        land_csv(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+
+
+def test_landed_columns_may_not_have_ingestion_names(spark, tmp_path):
+    path = put(tmp_path, "c.csv", "id,ingest_year\n1,1999\n")
+    with pytest.raises(ValueError, match="ingest_year"):
+        land_csv(spark, path, str(tmp_path / "out"))
