@@ -89,7 +89,7 @@ def cleaning_effect(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def fact_profile(df: DataFrame, key: str, measure: str, period: str) -> DataFrame:
-    """Rows, missing keys, missing measures, measure range and covered periods of a fact."""
+    """Rows, missing keys, missing measures, measure range and covered periods (also listed) of a fact."""
     per_period = df.groupBy(column(period).alias("period")).agg(
         F.count(F.lit(1)).alias("n"),
         F.count(column(key)).alias("n_key"),
@@ -106,4 +106,6 @@ def fact_profile(df: DataFrame, key: str, measure: str, period: str) -> DataFram
         F.count("period").alias("periods"),
         F.min("period").alias("first_period"),
         F.max("period").alias("last_period"),
+        # One entry per period, as the rows were grouped by it.
+        F.array_join(F.sort_array(F.collect_list(F.col("period"))).cast("array<string>"), ",").alias("period_list"),
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -321,6 +322,8 @@ def dq_monitor_report(spark, sf_dir):
         name: monitoring.Watch(lambda name=name: standin.table(spark, sf_dir, name), key)
         for name, key in keys.items()
     }
+    customer = monitoring.Relation(watches["customer"].read, [("o_custkey", "c_custkey")], unique=True)
+    watches["orders"] = replace(watches["orders"], relations={"customer": customer}, whole_rows=True)
     return monitoring.monitor(spark, watches).drop("elapsed_s", "message")
 
 

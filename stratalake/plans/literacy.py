@@ -11,7 +11,15 @@ from stratalake.functions import column, decode
 from stratalake.operators import model
 from stratalake.operators.clean import clean
 from stratalake.plans import literacy_tables as tables
-from stratalake.sources import read_csv, read_events, read_parquet, write_parquet, write_partitioned
+from stratalake.sources import (
+    files_outside_log,
+    land_csv,
+    read_csv,
+    read_events,
+    read_parquet,
+    write_parquet,
+    write_partitioned,
+)
 
 
 @dataclass(frozen=True)
@@ -114,11 +122,30 @@ def run_bronze(spark: SparkSession, landing: str, layers: Layers, specs=tables.L
     return written
 
 
-def run_bronze_events(spark: SparkSession, store: str, layers: Layers) -> dict[str, int]:
-    """Decode the stored events of each type into a typed Parquet table."""
+def run_landing(spark: SparkSession, delivered: str, path: str, specs=tables.LANDED_BATCH) -> dict[str, int]:
+    """Land every delivered CSV file as Parquet under the ingestion day, one folder per table."""
+    return {
+        spec.name: land_csv(spark, f"{delivered}/{spec.file_name}", f"{path}/{spec.name}", spec.separator, spec.schema)
+        for spec in specs
+    }
+
+
+def run_bronze_events(
+    spark: SparkSession, store: str, layers: Layers, outside_log: str = "error"
+) -> dict[str, int]:
+    """Decode the stored events of each type into a typed Parquet table.
+
+    ``outside_log`` says what happens to files of a streamed store that its log does not name: "error" refuses
+    them, "include" reads them as delivered by hand, "ignore" leaves them out as left by a failed attempt.
+    """
+    if outside_log not in ("error", "include", "ignore"):
+        raise ValueError(f"outside_log: {outside_log!r}")
+    outside = files_outside_log(spark, store) if outside_log == "error" else []
+    if outside:
+        raise ValueError(f"{len(outside)} files in {store} are not in the stream's log, such as {outside[0]}")
     written = {}
     for kind, spec in tables.EVENTS.items():
-        typed = read_events(spark, store, kind, spec.schema)
+        typed = read_events(spark, store, kind, spec.schema, committed_only=outside_log != "include")
         written[spec.name] = write_parquet(typed, f"{layers.bronze}/{spec.name}")
     return written
 

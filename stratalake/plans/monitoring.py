@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratalake.functions import column
 from stratalake.operators import quality
+from stratalake.operators.clean import require_columns
 from stratalake.plans import literacy_tables as tables
 
 REPORT_SCHEMA = (
@@ -18,32 +22,65 @@ REPORT_SCHEMA = (
 )
 
 
+@dataclass(frozen=True)
+class Relation:
+    """A table whose keys a watched table should find. Pairs name keys that are called differently on the two sides.
+
+    With ``unique`` keys that the reference holds several times are a finding too: a join would multiply rows.
+    """
+
+    read: Callable[[], DataFrame]
+    keys: Sequence[str | tuple[str, str]]
+    unique: bool = False
+
+
 @dataclass(frozen=True)
 class Watch:
-    """A table to monitor: how to read it, its business key and the columns whose NULLs matter."""
+    """A table to monitor: how to read it, its business key and the columns whose NULLs matter.
+
+    ``relations`` are checked under their labels, ``whole_rows`` asks for rows that are equal in all columns.
+    """
 
     read: Callable[[], DataFrame]
     business_key: Sequence[str] = ()
     critical_columns: Sequence[str] | None = None
+    relations: Mapping[str, Relation] = field(default_factory=dict)
+    whole_rows: bool = False
+
+
+def _row(check: str, subject: str, value: Column) -> Column:
+    return F.struct(F.lit(check).alias("check"), F.lit(subject).alias("subject"), value.cast("bigint").alias("value"))
 
 
 def findings(df: DataFrame, watch: Watch) -> DataFrame:
-    """(check, subject, value) rows of volume, NULL counts and duplicate keys, as one Spark job."""
-    checks = [
-        quality.volume(df).select(
-            F.lit("volume").alias("check"), F.lit("rows").alias("subject"), F.col("row_count").alias("value")
-        ),
-        quality.null_profile(df, watch.critical_columns).select(
-            F.lit("nulls").alias("check"), F.col("column_name").alias("subject"), F.col("null_count").alias("value")
-        ),
-    ]
+    """(check, subject, value) rows of volume, NULL counts and duplicates, as one Spark job.
+
+    Volume and NULL counts come from one scan, duplicate keys from a second one, copies of whole rows from a third.
+    """
+    names = list(watch.critical_columns or df.columns)
+    require_columns(df, names, "findings")
+    every = F.count(F.lit(1))
+    counted = [_row("volume", "rows", every), *[_row("nulls", n, every - F.count(column(n))) for n in names]]
+    checks = [df.agg(F.array(*counted).alias("found")).select(F.inline("found"))]
     if watch.business_key:
+        measures = [_row("duplicates", name, F.col(name)) for name in ("duplicate_groups", "surplus_rows")]
         duplicates = quality.duplicate_keys(df, watch.business_key)
-        checks.append(
-            duplicates.select("duplicate_groups", "surplus_rows")
-            .unpivot([], ["duplicate_groups", "surplus_rows"], "subject", "value")
-            .select(F.lit("duplicates").alias("check"), "subject", "value")
-        )
+        checks.append(duplicates.select(F.inline(F.array(*measures))))
+    if watch.whole_rows:
+        copies = quality.duplicate_keys(df, df.columns)
+        checks.append(copies.select(F.inline(F.array(_row("row_copies", "surplus_rows", F.col("surplus_rows"))))))
+    return reduce(DataFrame.unionByName, checks)
+
+
+def relation_findings(df: DataFrame, label: str, relation: Relation) -> DataFrame:
+    """Rows of ``df`` whose key the reference lacks and, if asked for, surplus rows of the reference's keys."""
+    reference = relation.read()
+    orphans = quality.orphan_summary(df, reference, relation.keys)
+    checks = [orphans.select(F.inline(F.array(_row("orphans", label, F.col("orphan_rows")))))]
+    if relation.unique:
+        keys = [k if isinstance(k, str) else k[1] for k in relation.keys]
+        repeats = quality.duplicate_keys(reference, keys)
+        checks.append(repeats.select(F.inline(F.array(_row("reference_repeats", label, F.col("surplus_rows"))))))
     return reduce(DataFrame.unionByName, checks)
 
 
@@ -57,30 +94,40 @@ def _message(error: Exception) -> str:
     return ": ".join([type(error).__name__, *str(error).strip().splitlines()[:1]])
 
 
-def monitor(spark: SparkSession, watches: Mapping[str, Watch], fail_fast: bool = False) -> DataFrame:
-    """Report over all tables. A table that cannot be read or scanned gives one ``read_failed`` row.
+def monitor(
+    spark: SparkSession, watches: Mapping[str, Watch], fail_fast: bool = False, at_once: int = 4
+) -> DataFrame:
+    """Report over all tables. A table or relation that cannot be read or scanned gives one ``read_failed`` row.
 
     With ``fail_fast`` the error is raised instead. Reading and checking of a table run inside one guarded
-    block, because Spark touches the files only when the job runs. Only the findings, a few rows per
-    table, come to the driver. ``elapsed_s`` is the time of the table's job; the last row is the total.
+    block, because Spark touches the files only when the job runs; so does each of its relations, whose label is
+    the subject of its failure. ``at_once`` such jobs run side by side. Only the findings, a few rows per table, come to
+    the driver. ``elapsed_s`` is the time of the row's job; the last row is the total.
     """
-    rows = []
     began = time.monotonic()
+    jobs = []
     for name, watch in watches.items():
+        jobs.append((name, None, lambda w=watch: findings(w.read(), w)))
+        for label, relation in watch.relations.items():
+            jobs.append((name, label, lambda w=watch, n=label, r=relation: relation_findings(w.read(), n, r)))
+
+    def checked(job) -> list[tuple]:
+        name, label, make = job
         started = time.monotonic()
         try:
-            found = findings(watch.read(), watch).collect()
+            found = make().collect()
         except Exception as error:
             if fail_fast:
                 raise
-            elapsed = time.monotonic() - started
-            rows.append((name, "read_failed", None, None, "alert", elapsed, _message(error)))
-            continue
+            return [(name, "read_failed", label, None, "alert", time.monotonic() - started, _message(error))]
         elapsed = time.monotonic() - started
-        rows += [
+        return [
             (name, r["check"], r["subject"], r["value"], _severity(r["check"], r["value"]), elapsed, None)
             for r in found
         ]
+
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        rows = [row for part in pool.map(inheritable_thread_target(spark)(checked), jobs) for row in part]
     rows.append(("total", "latency", None, None, "ok", time.monotonic() - began, None))
     return spark.createDataFrame(rows, REPORT_SCHEMA)
 
@@ -90,9 +137,22 @@ def literacy_watches(spark: SparkSession, silver: str) -> dict[str, Watch]:
     def reader(name):
         return lambda: spark.read.parquet(f"{silver}/{name}")
 
-    watches = {s.name: Watch(reader(s.name), s.business_key) for s in tables.CLEANED_BATCH}
+    def targets(name, *keys):
+        return {name: Relation(reader(name), keys)}
+
+    related = {
+        "uf": targets("meta_por_uf", "ano", "sigla_uf"),
+        "municipio": targets("meta_por_municipio", "ano", "id_municipio"),
+    }
+    watches = {
+        s.name: Watch(reader(s.name), s.business_key, relations=related.get(s.name, {}), whole_rows=True)
+        for s in tables.CLEANED_BATCH
+    }
     student = tables.TS_ALUNO
-    watches[student.name] = Watch(reader(student.name), student.business_key, tables.STUDENT_CRITICAL_COLUMNS)
+    known = {"municipio": Relation(reader("municipio"), [("CO_MUNICIPIO", "id_municipio")])}
+    watches[student.name] = Watch(
+        reader(student.name), student.business_key, tables.STUDENT_CRITICAL_COLUMNS, relations=known
+    )
     return watches
 
 

@@ -161,7 +161,7 @@ def _effect(name: str, keys) -> str:
        count(*) FILTER (WHERE {keyed}) - {distinct} AS surplus_copies, {distinct} AS rows_after FROM raw_{name}"""
 
 
-def _monitored(name: str, columns, keys) -> str:
+def _monitored(name: str, columns, keys, more=()) -> str:
     """Report rows of one table."""
     parts = [
         f"SELECT 'volume' AS kind, 'rows' AS subject, count(*) AS n FROM {name}",
@@ -169,6 +169,7 @@ def _monitored(name: str, columns, keys) -> str:
     ]
     for measure in ("duplicate_groups", "surplus_rows"):
         parts.append(f"SELECT 'duplicates', '{measure}', {measure} FROM ({_duplicates(name, keys)})")
+    parts += more
     return f"""SELECT '{name}' AS dataset, kind AS "check", subject, n AS value,
        CASE WHEN (kind = 'volume') = (n > 0) THEN 'ok' ELSE 'alert' END AS severity
 FROM ({" UNION ALL ".join(parts)})"""
@@ -325,6 +326,13 @@ FROM events WHERE event_type = 'view'""",
                     "orders",
                     ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"),
                     ("o_custkey", "o_orderdate"),
+                    [
+                        "SELECT 'orphans', 'customer', count(*) FROM orders "
+                        "WHERE o_custkey IS NULL OR o_custkey NOT IN (SELECT c_custkey FROM customer)",
+                        "SELECT 'reference_repeats', 'customer', count(*) - count(DISTINCT c_custkey) FROM customer",
+                        "SELECT 'row_copies', 'surplus_rows', (SELECT count(*) FROM orders) - count(*) "
+                        "FROM (SELECT DISTINCT * FROM orders)",
+                    ],
                 ),
                 _monitored(
                     "lineitem",
@@ -354,7 +362,8 @@ FROM events WHERE event_type = 'view'""",
             """SELECT count(*) AS row_count, count(*) - count(id_municipio) AS null_keys,
                       count(*) - count(taxa_realizada) AS null_measures, min(taxa_realizada) AS min_measure,
                       max(taxa_realizada) AS max_measure, count(DISTINCT ano) AS periods, min(ano) AS first_period,
-                      max(ano) AS last_period
+                      max(ano) AS last_period,
+                      string_agg(DISTINCT CAST(ano AS VARCHAR), ',' ORDER BY CAST(ano AS VARCHAR)) AS period_list
                FROM fact_entity""",
             "fact_entity",
         ),

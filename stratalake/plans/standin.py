@@ -108,23 +108,24 @@ FROM (SELECT *, {_copies("2")} FROM delivery) AS d""",
 WITH {_PER_STATE},
 delivery AS (
   SELECT CAST(y AS STRING) AS ano,
-         CASE WHEN r_name = 'EUROPE' THEN concat(' ', lower(n_name)) ELSE n_name END AS sigla_uf,
-         'Pública' AS rede,
+         CASE r_name WHEN 'AFRICA' THEN NULL WHEN 'EUROPE' THEN concat(' ', lower(n_name)) ELSE n_name END AS sigla_uf,
+         CASE WHEN code = '5' THEN 'Pública' ELSE concat('Rede ', code) END AS rede,
          {_percent("n_o")} AS taxa_alfabetizacao,
          {_targets(_percent("n_o"), 0.5, tables.TARGET_YEARS[:-1])},
          CAST(CAST(n_o AS BIGINT) AS STRING) AS {tables.TARGET_PREFIX}{tables.TARGET_YEARS[-1]},
          {_percent("n_p")} AS percentual_participacao
-  FROM per_state WHERE code = '5' AND r_name <> 'AFRICA'
+  FROM per_state
 )
 SELECT ano, sigla_uf, rede, taxa_alfabetizacao, {", ".join(_META_NAMES)}, percentual_participacao
 FROM (SELECT *, {_copies("2")} FROM delivery) AS d""",
     "meta_por_municipio": f"""
 WITH agreed AS (
-  SELECT o_custkey, {_year("o_orderdate")} AS y, {_STATUS_COUNTS}
-  FROM {{orders}} WHERE o_orderpriority = '3-MEDIUM' GROUP BY 1, 2
+  SELECT o_custkey, {_year("o_orderdate")} AS y, substr(o_orderpriority, 1, 1) AS code, {_STATUS_COUNTS}
+  FROM {{orders}} GROUP BY 1, 2, 3
 ),
 delivery AS (
-  SELECT CAST(y AS STRING) AS ano, CAST(o_custkey AS STRING) AS id_municipio, 'Municipal' AS rede,
+  SELECT CAST(y AS STRING) AS ano, CASE WHEN code <> '1' THEN CAST(o_custkey AS STRING) END AS id_municipio,
+         CASE WHEN code = '3' THEN 'Municipal' ELSE concat('Rede ', code) END AS rede,
          {_percent("n_o")} AS taxa_alfabetizacao, {_targets(_percent("n_o"), 1.5)},
          CAST(n AS INT) AS nivel_alfabetizacao, {_percent("n_p")} AS percentual_participacao
   FROM agreed

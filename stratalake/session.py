@@ -18,7 +18,12 @@ MAX_SHUFFLE_TASKS = 50_000
 SCAN_TASK_BYTES = (256 * MIB, 1024 * MIB)
 
 
-def recommended_settings(shuffle_bytes: int, total_cores: int) -> dict[str, str]:
+def recommended_settings(
+    shuffle_bytes: int,
+    total_cores: int,
+    max_shuffle_tasks: int = MAX_SHUFFLE_TASKS,
+    scan_task_bytes: tuple[int, int] = SCAN_TASK_BYTES,
+) -> dict[str, str]:
     """Spark settings for a job whose largest shuffle moves about ``shuffle_bytes``.
 
     The shuffle starts wide and AQE merges what turns out to be small, splits skewed join partitions and
@@ -26,9 +31,9 @@ def recommended_settings(shuffle_bytes: int, total_cores: int) -> dict[str, str]
     Parquet grows in memory, so those are multiplied before they are held against the broadcast limit.
     """
     wanted = ceil(shuffle_bytes / SHUFFLE_TASK_BYTES)
-    partitions = max(total_cores, min(wanted, MAX_SHUFFLE_TASKS))
+    partitions = max(total_cores, min(wanted, max_shuffle_tasks))
     task_bytes = max(SHUFFLE_TASK_BYTES, ceil(shuffle_bytes / partitions))
-    low, high = SCAN_TASK_BYTES
+    low, high = scan_task_bytes
     return {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.shuffle.partitions": str(partitions),

@@ -1,9 +1,10 @@
-from stratalake.sources.events import decode_events, read_events
+from stratalake.sources.events import decode_events, files_outside_log, read_events
 from stratalake.sources.readers import read_csv, read_parquet
 from stratalake.sources.writers import land_csv, write_parquet, write_partitioned
 
 __all__ = [
     "decode_events",
+    "files_outside_log",
     "land_csv",
     "read_csv",
     "read_events",

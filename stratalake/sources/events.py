@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
 
 from stratalake.functions import column
 
@@ -20,17 +21,42 @@ def decode_events(stored: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
-def read_events(spark: SparkSession, store: str, event_type: str, schema: T.StructType) -> DataFrame:
+def _typed_folders(store: str) -> str:
+    return f"{store.rstrip('/')}/{TYPE_COLUMN}=*"
+
+
+def files_outside_log(spark: SparkSession, store: str) -> list[str]:
+    """Files of a streamed store that the stream did not commit: delivered by hand, or left by a failed attempt.
+
+    Compares the two file listings that Spark makes on the driver for reading; no data are read. A store without a
+    log has none, as all of its files are read.
+    """
+    committed = set(spark.read.text(store).inputFiles())
+    try:
+        present = spark.read.option("basePath", store).text(_typed_folders(store)).inputFiles()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        present = []
+    return sorted(set(present) - committed)
+
+
+def read_events(
+    spark: SparkSession, store: str, event_type: str, schema: T.StructType, committed_only: bool = True
+) -> DataFrame:
     """Events of one type from an event store of JSON lines.
 
     The store is read from its root: there Spark finds the log of what the stream committed, so files of
     a failed attempt do not count, and the filter on the type leaves only that type's folders to read.
     Lines may hold the event itself or an envelope with the event as text; where a line has both forms
     the envelope wins. Only declared fields are returned: the ingestion day is not part of an event, so
-    a redelivered event equals its first copy.
+    a redelivered event equals its first copy. With ``committed_only=False`` all files of the type folders count, also
+    those outside the log.
     """
     fields = [T.StructField(RAW_PAYLOAD, T.StringType()), *schema.fields]
-    lines = spark.read.schema(T.StructType(fields)).json(store).where(column(TYPE_COLUMN) == event_type)
+    reader = spark.read.schema(T.StructType(fields))
+    stored = reader.json(store) if committed_only else reader.option("basePath", store).json(_typed_folders(store))
+    lines = stored.where(column(TYPE_COLUMN) == event_type)
     both = lines.select("*", F.from_json(column(RAW_PAYLOAD), schema).alias("_event"))
     return both.select(
         *[F.coalesce(F.col("_event").getField(name), column(name)).alias(name) for name in schema.fieldNames()]

@@ -55,7 +55,7 @@ def test_fact_profile(spark):
                                "id int, ano int, taxa double")
     profile = quality.fact_profile(df, "id", "taxa", "ano").first().asDict()
     assert profile == {"row_count": 4, "null_keys": 1, "null_measures": 1, "min_measure": 1.0, "max_measure": 9.0,
-                       "periods": 2, "first_period": 2024, "last_period": 2025}
+                       "periods": 2, "first_period": 2024, "last_period": 2025, "period_list": "2024,2025"}
     empty = quality.fact_profile(df.limit(0), "id", "taxa", "ano").first()
     assert (empty["row_count"], empty["null_keys"], empty["min_measure"], empty["periods"]) == (0, 0, None, 0)
 
@@ -122,3 +122,33 @@ def test_cleaning_effect_explains_every_row(spark):
     assert effect["rows_before"] - effect["rows_without_key"] - effect["surplus_copies"] == effect["rows_after"]
     assert min(effect.values()) > 0
     assert rows(quality.cleaning_effect(raw.limit(0), tables.MUNICIPIO)) == [(0, 0, 0, 0)]
+
+
+def test_monitor_reports_relations_copies_and_unreadable_references(spark, tmp_path):
+    from stratalake.plans.monitoring import Relation, Watch, monitor
+
+    facts = spark.createDataFrame([(1, "a"), (1, "a"), (3, "b"), (None, "c")], "k int, v string")
+    known = spark.createDataFrame([(1,), (1,), (2,)], "id int")
+
+    def fail():
+        raise RuntimeError
+
+    relations = {"known": Relation(lambda: known, [("k", "id")], unique=True), "lost": Relation(fail, ["k"])}
+    report = monitor(spark, {"facts": Watch(lambda: facts, ["k"], relations=relations, whole_rows=True)})
+    found = {(r["check"], r["subject"]): (r["value"], r["severity"]) for r in report.collect()}
+    assert found["orphans", "known"] == (2, "alert")
+    assert found["reference_repeats", "known"] == (1, "alert")
+    assert found["row_copies", "surplus_rows"] == (1, "alert")
+    assert found["read_failed", "lost"] == (None, "alert")
+    assert report.where("check = 'read_failed'").first()["message"] == "RuntimeError"
+    assert found["volume", "rows"] == (4, "ok") and found["nulls", "k"] == (1, "alert")
+
+
+def test_findings_scan_a_table_twice(spark, tmp_path):
+    from conftest import plan_of
+
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, "rows")], "k int, rows string").write.parquet(path)
+    found = monitoring.findings(spark.read.parquet(path), monitoring.Watch(None, ["k"]))
+    assert plan_of(found).count("FileScan") == 2
+    assert ("volume", "rows", 1) in rows(found)

@@ -107,3 +107,35 @@ def test_reading_one_type_prunes_the_others(spark, tmp_path):
     run(spark, landing, store, tmp_path / "checkpoint")
     events = read_events(spark, str(store), "dados_aluno", tables.DADOS_ALUNO.schema)
     assert "(tipo_mensagem" in plan_of(events).split("PartitionFilters")[1].split("PushedFilters")[0]
+
+
+def test_types_that_are_not_known_do_not_become_folders(spark, tmp_path):
+    landing, store = tmp_path / "landing", tmp_path / "store"
+    landing.mkdir()
+    strange = [json.dumps({**STUDENT, "tipo_mensagem": kind}) for kind in ("x" * 300, "../up", "other")]
+    (landing / "1.txt").write_text("\n".join([*strange, BODIES[0]]) + "\n")
+    run(spark, landing, store, tmp_path / "checkpoint")
+    stored = spark.read.json(str(store))
+    assert rows(stored.groupBy("tipo_mensagem").count()) == [("dados_aluno", 1), ("unknown", 3)]
+    assert {r[0] for r in rows(stored.where("tipo_mensagem = 'unknown'"), "_raw_data")} == set(strange)
+    own = envelope(bodies(spark, strange), known_types=["other"])
+    assert own.where("tipo_mensagem = 'other'").count() == 1
+
+
+def test_files_delivered_by_hand_are_refused_or_included(spark, tmp_path):
+    from stratalake.plans import literacy
+    from stratalake.sources import files_outside_log
+
+    landing, store = tmp_path / "landing", tmp_path / "store"
+    landing.mkdir()
+    (landing / "1.txt").write_text(BODIES[0] + "\n")
+    run(spark, landing, store, tmp_path / "checkpoint")
+    assert files_outside_log(spark, str(store)) == []
+    committed = next((store / "tipo_mensagem=dados_aluno").rglob("*.json"))
+    (committed.parent / "by-hand.json").write_text(json.dumps({**STUDENT, "ID_ALUNO": 2}) + "\n")
+    layers = literacy.Layers(*[str(tmp_path / name) for name in ("bronze", "silver", "gold")])
+    with pytest.raises(ValueError, match="by-hand.json"):
+        literacy.run_bronze_events(spark, str(store), layers)
+    assert literacy.run_bronze_events(spark, str(store), layers, "ignore")["stream_aluno"] == 1
+    assert literacy.run_bronze_events(spark, str(store), layers, "include")["stream_aluno"] == 2
+    assert rows(spark.read.parquet(f"{layers.bronze}/stream_aluno"), "ID_ALUNO") == [(2,), (777,)]
