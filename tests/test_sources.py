@@ -164,3 +164,13 @@ def test_landed_columns_may_not_have_ingestion_names(spark, tmp_path):
     path = put(tmp_path, "c.csv", "id,ingest_year\n1,1999\n")
     with pytest.raises(ValueError, match="ingest_year"):
         land_csv(spark, path, str(tmp_path / "out"))
+
+
+def test_landing_run_makes_a_folder_per_table(spark, tmp_path):
+    from stratalake.plans.literacy import run_landing
+
+    put(tmp_path / "in", "meta_brasil.csv", "ano,rede\n2024,2\n2025,3\n")
+    put(tmp_path / "in", "uf.csv", "ano,sigla_uf\n2024,RO\n")
+    out = tmp_path / "out"
+    assert run_landing(spark, str(tmp_path / "in"), str(out), [tables.META_BRASIL, tables.UF]) == {"meta_brasil": 2, "uf": 1}
+    assert rows(read_parquet(spark, str(out / "meta_brasil")), "ano", "rede") == [(2024, 2), (2025, 3)]
