@@ -108,4 +108,47 @@ SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, m.component_id, s.doc_i
 FROM shingled s JOIN least_id m USING (doc_id)
 """
 
-ORACLE = {"op5_top_k": TOP_K_SQL, "op6_near_duplicates": NEAR_DUPLICATES_SQL}
+# Quality rules: the measures of each text, lines by their normalised text, documents of a host by their text.
+QUALITY_RULES_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, source AS host, coalesce(text, '') AS t FROM documents
+), words AS (
+  SELECT r, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d
+), windows AS (
+  SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM words)
+), twice AS (
+  SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY r, g) > 1
+), repeated AS (
+  SELECT r, count(DISTINCT place) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS place FROM twice) GROUP BY r
+), lines AS (
+  SELECT r, host, t, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n,
+    trim(regexp_replace(translate(lower(line), '123456789', '000000000'),
+      '[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+', ' ', 'g'), ' ') AS norm
+  FROM (SELECT r, host, t, unnest(string_split(t, chr(10))) AS line FROM d)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), hosts AS (
+  SELECT host, count(DISTINCT t) AS docs FROM d GROUP BY host
+), often AS (
+  SELECT l.host, l.norm
+  FROM (SELECT host, norm, count(DISTINCT t) AS docs FROM lines GROUP BY host, norm) l
+  JOIN hosts h ON l.host IS NOT DISTINCT FROM h.host
+  WHERE l.docs > 25 AND 100 * l.docs > 2 * h.docs
+), by_lines AS (
+  SELECT l.r, count(*) - count(DISTINCT l.line) AS dup, sum(CASE WHEN o.norm IS NULL THEN 0 ELSE l.n END) AS removed
+  FROM lines l LEFT JOIN often o ON l.host IS NOT DISTINCT FROM o.host AND l.norm = o.norm
+  GROUP BY l.r
+), measured AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+    CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+    CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+    CAST(coalesce(dup, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
+    CAST(coalesce(removed, 0) AS BIGINT) AS removed_words
+  FROM words LEFT JOIN repeated USING (r) LEFT JOIN by_lines USING (r)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  n_words >= 50 AND 100 * n_repeat_words <= 50 * n_words AND (n_words - removed_words) * 100 >= n_words * 30 AS kept, removed_words
+FROM measured
+"""
+
+ORACLE = {"op5_top_k": TOP_K_SQL, "op6_near_duplicates": NEAR_DUPLICATES_SQL, "op10_quality_rules": QUALITY_RULES_SQL}

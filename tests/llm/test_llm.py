@@ -61,11 +61,11 @@ def test_whole_tokens_are_proven():
     assert [e.ids for e in library.encode_batch(words, add_special_tokens=False)] == [[int.from_bytes(vocabulary.whole[w], "little")] for w in words]
 
 
-def test_packing_holds_every_id_once(odd):
+def held_once(rows, texts):
+    """Every id of every text lies in one piece, and the pieces of a sequence lie one after another."""
     library = Tokenizer.from_file(PATH)
-    rows = packing.pack(odd, PATH, group_pieces=4).collect()
     whole = Counter()
-    for t in texts_of(odd):
+    for t in texts:
         ids = np.array([*library.encode(t or "", add_special_tokens=False).ids, 1], "<u4")
         for start in range(0, len(ids), 2048):
             whole[start, zlib.crc32(ids[start : start + 2048].tobytes()), len(ids)] += 1
@@ -81,6 +81,11 @@ def test_packing_holds_every_id_once(odd):
         assert at <= 2048
 
 
+def test_packing_holds_every_id_once(odd, empty):
+    held_once(packing.pack(odd, PATH, group_pieces=4).collect(), texts_of(odd))
+    assert packing.pack(empty, PATH).count() == 0
+
+
 def test_best_fit_decreasing_equals_search():
     draw = np.random.default_rng(3)
     for window in (7, 64, 100):
@@ -344,3 +349,61 @@ def test_pipeline_stages(spark, odd):
     clean = corpus_pipeline.drop_toxic(spark, docs, SMALL)
     assert clean.columns == docs.columns and clean.count() > 0
     assert corpus_pipeline.pack_windows(spark, docs, SMALL).where("start = 0").count() == docs.count()
+
+
+def test_queries_equal_brute_force(spark):
+    """The registered queries without SQL, over the whole table: tokens and pieces by the library, base spans by plain patterns."""
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(SMALL + "/documents.parquet").collect()}
+    library = Tokenizer.from_file(PATH)
+    rows = queries.op2_token_counts(spark, SMALL).collect()
+    counts = {i: len(library.encode(t or "", add_special_tokens=False).ids) for i, t in docs.items()}
+    assert {(r["doc_id"], r["n_bytes"], r["n_tokens"], r["over_limit"]) for r in rows} == {(i, len((t or "").encode()), counts[i], counts[i] > 2048) for i, t in docs.items()}
+    held_once(queries.op4_packing(spark, SMALL).collect(), docs.values())
+    patterns = {
+        "assign": (r"""((?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?)([A-Za-z0-9+/_.=-]+)""", 6),
+        "access": ("()(AKIA[A-Z0-9]+)", 20),
+        "hex": ("()([0-9a-f]+)", 24),
+    }
+    for r in queries.op8_secrets(spark, SMALL).collect():
+        found = []
+        for order, (kind, (pattern, least)) in enumerate(patterns.items()):
+            flags = re.ASCII | (re.IGNORECASE if kind == "assign" else 0)
+            own = [(m.start(), order, f"{kind}:{m.start()}:{m.end()}") for m in re.finditer(pattern, docs[r["doc_id"]] or "", flags) if len(m[2]) >= least]
+            assert r[f"n_{kind}"] == len(own)
+            found += own
+        listed = [text for _, _, text in sorted(found)]
+        assert r["base_sha256"] == hashlib.sha256(",".join(listed).encode()).hexdigest()
+        assert set(listed) <= set(r["spans"].split(","))
+    for name in ("op1_language", "op3_toxicity", "op7_mixing", "op9_quality"):
+        assert sorted(r["doc_id"] for r in queries.QUERIES[name](spark, SMALL).select("doc_id").collect()) == sorted(docs)
+
+
+def test_pipeline_run_equals_brute_force(spark, tmp_path, monkeypatch):
+    """Each stage's written table follows from the table before it."""
+    monkeypatch.setattr(corpus_pipeline, "work_folder", lambda session, label: f"{tmp_path}/{label}-{len(list(tmp_path.iterdir()))}")
+    packed = corpus_pipeline.run(spark, SMALL).collect()
+    folder = next(tmp_path.glob("pipeline-*"))
+    read = lambda name: spark.read.parquet(f"{folder}/{name}")
+    docs, labels = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.train(docs, labels)
+    clean = {r["doc_id"] for r in docs.collect() if toxicity.rated(r["text"], model)[0] < 0.3}
+    before = read("toxicity").collect()
+    assert sorted(r["doc_id"] for r in before) == sorted(clean)
+    groups = {}
+    for doc_id, size, root in brute_components([(r["doc_id"], r["text"]) for r in before]):
+        groups.setdefault(root if size else ("alone", doc_id), set()).add(doc_id)
+    kept = {r["doc_id"]: r["text"] for r in read("near_duplicates").collect()}
+    assert len(kept) == len(groups) and all(len(own & kept.keys()) == 1 for own in groups.values())
+    cut = read("secrets").collect()
+    assert {r["doc_id"] for r in cut} == kept.keys() and not any(secret_scan.base_spans(r["text"] or "") for r in cut)
+    assert all(r["text"] == kept[r["doc_id"]] or "[secret]" in r["text"] for r in cut)
+    sizes, taken = Counter(), Counter()
+    for r in cut:
+        sizes[r["source"]] += len(WORD.findall(r["text"] or ""))
+    mixed = read("mixing").collect()
+    for r in mixed:
+        taken[r["source"]] += len(WORD.findall(r["text"]))
+    assert all(abs(taken[s] - target) <= 1 for s, target in brute_targets(sizes).items())
+    whole = {r["doc_id"]: r["text"] for r in cut}
+    assert all(whole[r["doc_id"]].startswith(r["text"]) for r in mixed)
+    held_once(packed, [r["text"] for r in mixed])
