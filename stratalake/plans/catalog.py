@@ -81,6 +81,18 @@ def bronze_csv_explicit(spark, sf_dir):
     return read_parquet(spark, bronze, spec.schema)
 
 
+@query
+def bronze_csv_quoted(spark, sf_dir):
+    """CSV of whole texts, with quotes, separators and line breaks in them, to bronze Parquet and back."""
+    docs = standin.table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = work_folder(spark, "csv")
+    keep_blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    docs.write.options(header=True, escape='"', quoteAll=True, nullValue="", emptyValue='""', **keep_blanks).csv(path)
+    bronze = work_folder(spark, "bronze")
+    write_parquet(read_csv(spark, path, schema=docs.schema, multi_line=True), bronze)
+    return read_parquet(spark, bronze, docs.schema)
+
+
 @query
 def bronze_json_events(spark, sf_dir):
     """Flat JSON lines per event type to a typed bronze table and back."""

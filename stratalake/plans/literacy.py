@@ -21,6 +21,9 @@ from stratalake.sources import (
     write_partitioned,
 )
 
+# The bronze column that keeps lines whose values do not fit the declared types.
+UNREADABLE = "_unreadable"
+
 
 @dataclass(frozen=True)
 class Layers:
@@ -114,11 +117,19 @@ def state_regions(spark: SparkSession) -> DataFrame:
 
 
 def run_bronze(spark: SparkSession, landing: str, layers: Layers, specs=tables.LANDED_BATCH) -> dict[str, int]:
-    """Convert the landed CSV files to Parquet, unchanged."""
+    """Convert the landed CSV files to Parquet, unchanged.
+
+    Tables with a declared schema get a column UNREADABLE with the whole line where a value does not fit it. If there are
+    such rows, their number is returned as "table._unreadable".
+    """
     written = {}
     for spec in specs:
-        raw = read_csv(spark, f"{landing}/{spec.file_name}", spec.separator, spec.schema)
+        kept = UNREADABLE if spec.schema else None
+        raw = read_csv(spark, f"{landing}/{spec.file_name}", spec.separator, spec.schema, unreadable=kept)
         written[spec.name] = write_parquet(raw, f"{layers.bronze}/{spec.name}")
+        if kept:
+            bad = read_parquet(spark, f"{layers.bronze}/{spec.name}", raw.schema).where(F.col(kept).isNotNull()).count()
+            written |= {f"{spec.name}.{kept}": bad} if bad else {}
     return written
 
 
@@ -154,7 +165,7 @@ def run_silver(spark: SparkSession, layers: Layers, specs=(*tables.CLEANED_BATCH
     """Clean bronze tables. Pass the specs of ``literacy_tables.EVENTS`` to clean events."""
     written = {}
     for spec in specs:
-        raw = read_parquet(spark, f"{layers.bronze}/{spec.name}")
+        raw = read_parquet(spark, f"{layers.bronze}/{spec.name}").drop(UNREADABLE)
         written[spec.name] = write_parquet(clean(raw, spec), f"{layers.silver}/{spec.name}")
     return written
 

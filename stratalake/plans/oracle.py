@@ -208,6 +208,7 @@ def oracle_queries() -> dict[str, str]:
         ),
         "bronze_csv_semicolon": _with("SELECT * FROM raw_ts_item", "raw_ts_item"),
         "bronze_csv_explicit": _with("SELECT * FROM raw_ts_aluno", "raw_ts_aluno"),
+        "bronze_csv_quoted": "SELECT doc_id, text FROM documents",
         "bronze_json_events": f"""
 SELECT 'dados_aluno' AS tipo_mensagem, CAST(year(ts) AS INTEGER) AS NU_ANO, {_EVENT_UF},
        CASE WHEN value < 10 THEN ' ro ' ELSE 'RO' END AS SG_UF, event_id AS ID_ALUNO, 2 AS TP_SERIE,

@@ -7,7 +7,12 @@ from pyspark.sql import types as T
 
 
 def read_csv(
-    spark: SparkSession, path: str, separator: str = ",", schema: T.StructType | None = None, multi_line: bool = False
+    spark: SparkSession,
+    path: str,
+    separator: str = ",",
+    schema: T.StructType | None = None,
+    multi_line: bool = False,
+    unreadable: str | None = None,
 ) -> DataFrame:
     """CSV file or folder with a header.
 
@@ -15,11 +20,15 @@ def read_csv(
     error rather than values under wrong names. Without it the types are inferred, at the price of
     reading the text twice, and every file of a folder is held against the inferred header. A doubled quote inside
     quotes is a quote. ``multi_line`` allows line breaks inside quotes; such files are not split over tasks.
+    ``unreadable`` names a column to add, which keeps the whole line where a value does not fit the type of ``schema``.
     """
     reader = spark.read.option("header", True).option("sep", separator).option("escape", '"').option("multiLine", multi_line)
     if schema is None:
         schema = reader.option("inferSchema", True).csv(path).schema
         reader = reader.option("inferSchema", False)
+    if unreadable:
+        schema = T.StructType([*schema.fields, T.StructField(unreadable, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", unreadable)
     return reader.option("enforceSchema", False).schema(schema).csv(path)
 
 

@@ -174,3 +174,23 @@ def test_landing_run_makes_a_folder_per_table(spark, tmp_path):
     out = tmp_path / "out"
     assert run_landing(spark, str(tmp_path / "in"), str(out), [tables.META_BRASIL, tables.UF]) == {"meta_brasil": 2, "uf": 1}
     assert rows(read_parquet(spark, str(out / "meta_brasil")), "ano", "rede") == [(2024, 2), (2025, 3)]
+
+
+def test_unreadable_values_keep_their_line(spark, tmp_path):
+    path = put(tmp_path, "u.csv", "a;b\n1;x\nbad;y\n;z\n")
+    df = read_csv(spark, path, ";", spark.createDataFrame([], "a int, b string").schema, unreadable="_unreadable")
+    assert rows(df) == [(None, "y", "bad;y"), (None, "z", None), (1, "x", None)]
+
+
+def test_bronze_counts_unreadable_rows_and_silver_leaves_the_column(spark, tmp_path):
+    from stratalake.plans import literacy
+
+    names = tables.TS_ALUNO.schema.fieldNames()
+    line = lambda **values: ";".join(values.get(n, "") for n in names) + "\n"
+    put(tmp_path / "in", tables.TS_ALUNO.file_name, ";".join(names) + "\n" + line(ID_ALUNO="7") + line(ID_ALUNO="seven"))
+    layers = literacy.Layers(*(str(tmp_path / name) for name in ("bronze", "silver", "gold")))
+    assert literacy.run_bronze(spark, str(tmp_path / "in"), layers, [tables.TS_ALUNO]) == {"ts_aluno": 2, "ts_aluno._unreadable": 1}
+    kept = read_parquet(spark, f"{layers.bronze}/ts_aluno").where("_unreadable is not null")
+    assert rows(kept, "_unreadable") == [(line(ID_ALUNO="seven").strip(),)]
+    literacy.run_silver(spark, layers, [tables.TS_ALUNO])
+    assert "_unreadable" not in read_parquet(spark, f"{layers.silver}/ts_aluno").columns
