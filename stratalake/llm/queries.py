@@ -5,7 +5,21 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stratalake.llm import langid, mixing, neardup, packing, quality_rules, secret_scan, topk, toxicity, weak_quality, word_tokens
+from stratalake.llm import (
+    divergence,
+    langid,
+    mixing,
+    neardup,
+    packing,
+    quality_rules,
+    secret_scan,
+    topk,
+    toxicity,
+    warc,
+    weak_quality,
+    whitening,
+    word_tokens,
+)
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -59,9 +73,24 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.resolve_pages(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_language, op2_token_counts, op3_toxicity, op4_packing, op5_top_k, op6_near_duplicates, op7_mixing, op8_secrets, op9_quality, op10_quality_rules)
+    for f in (
+        op1_language, op2_token_counts, op3_toxicity, op4_packing, op5_top_k, op6_near_duplicates, op7_mixing, op8_secrets,
+        op9_quality, op10_quality_rules, op11_divergence, op12_whitening, op13_warc,
+    )
 }
 
 # Top-k over quantised vectors: the query's own row is left out by its id.
@@ -151,4 +180,71 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM measured
 """
 
-ORACLE = {"op5_top_k": TOP_K_SQL, "op6_near_duplicates": NEAR_DUPLICATES_SQL, "op10_quality_rules": QUALITY_RULES_SQL}
+# Source divergence: p of every source and kept term, all pairs of sources over them.
+DIVERGENCE_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents
+), words AS (
+  SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+), kept AS (
+  SELECT lang, term, count(*) AS c FROM words GROUP BY lang, term HAVING count(DISTINCT r) >= 30
+), counts AS (
+  SELECT w.lang, w.source, w.term, count(*) AS c FROM words w JOIN kept k ON w.lang = k.lang AND w.term = k.term GROUP BY ALL
+), langs AS (
+  SELECT lang, count(*) AS v, sum(c) AS n FROM kept GROUP BY lang
+), sources AS (
+  SELECT g.lang, g.source, coalesce(sum(c.c), 0) AS n
+  FROM (SELECT DISTINCT lang, source FROM d) g LEFT JOIN counts c ON g.lang = c.lang AND g.source = c.source
+  GROUP BY g.lang, g.source
+), p AS (
+  SELECT s.lang, s.source, k.term, coalesce(c.c, 0) AS c,
+    CAST(1 + (CAST(1000000000 AS HUGEINT) * (coalesce(c.c, 0) + 5)) // (s.n + 5 * l.v) AS BIGINT) AS p,
+    CAST(1 + (CAST(1000000000 AS HUGEINT) * (k.c + 5)) // (l.n + 5 * l.v) AS BIGINT) AS q
+  FROM sources s JOIN langs l ON s.lang = l.lang JOIN kept k ON s.lang = k.lang
+  LEFT JOIN counts c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term
+), apart AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(x.value, 0) AS BIGINT) AS value
+  FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM p WHERE c > 0 AND p > q
+)
+SELECT lang, source, part, item, value,
+  CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM found
+QUALIFY part = 'pair' OR rank <= 50
+"""
+
+# Revisits: pages with equal payloads, and the SHA-1 in base32 by twenty bits at a time.
+WARC_SQL = """
+WITH p AS (
+  SELECT row_number() OVER () AS r, page_id, coalesce(html, '') AS payload FROM pages
+), hashed AS (
+  SELECT r, page_id, payload, strlen(payload) AS payload_bytes, sha1(payload) AS h FROM p
+), digested AS (
+  SELECT *, list_aggregate(list_transform(range(0, 8), lambda j:
+      list_aggregate(list_transform([15, 10, 5, 0], lambda s:
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((CAST('0x' || substr(h, CAST(1 + 5 * j AS BIGINT), 5) AS BIGINT) >> s) & 31 AS BIGINT), 1)), 'string_agg', '')), 'string_agg', '') AS payload_digest
+  FROM hashed
+), chosen AS (
+  SELECT *, first_value(page_id) OVER w AS response_id, row_number() OVER w AS place
+  FROM digested WINDOW w AS (PARTITION BY payload ORDER BY page_id DESC NULLS LAST, r)
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN place > 1 THEN response_id END AS refers_to
+FROM chosen
+"""
+
+ORACLE = {
+    "op5_top_k": TOP_K_SQL,
+    "op6_near_duplicates": NEAR_DUPLICATES_SQL,
+    "op10_quality_rules": QUALITY_RULES_SQL,
+    "op11_divergence": DIVERGENCE_SQL,
+    "op13_warc": WARC_SQL,
+}
