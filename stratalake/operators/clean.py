@@ -36,15 +36,8 @@ def cleaned_names(columns: list[str], spec: TableSpec) -> list[str]:
     return names
 
 
-def clean(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Distinct rows with all required keys, then cast, normalised and renamed.
-
-    Duplicates are judged on the raw values, so " ro" and "RO" stay two rows. Rows without a key are
-    filtered first: that commutes with removing duplicates, reaches the Parquet scan as a pushed filter
-    and keeps those rows out of the shuffle. The distinct step combines copies inside each map task
-    before it shuffles, so many copies of one row cost one row per task.
-    """
-    require_columns(df, [*spec.required, *spec.casts, *spec.codes, *spec.renames], spec.name)
+def project(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Rows cast, normalised and renamed; columns that the spec does not name stay as they are."""
     names = cleaned_names(df.columns, spec)
 
     def cleaned(raw: str) -> Column:
@@ -55,8 +48,20 @@ def clean(df: DataFrame, spec: TableSpec) -> DataFrame:
             value = normalise_code(value)
         return value
 
-    distinct = df.where(all_present(spec.required)).dropDuplicates()
-    return distinct.select(*[cleaned(raw).alias(name) for raw, name in zip(df.columns, names)])
+    return df.select(*[cleaned(raw).alias(name) for raw, name in zip(df.columns, names)])
+
+
+def clean(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Distinct rows with all required keys, then cast, normalised and renamed.
+
+    Duplicates are judged on the raw values, so " ro" and "RO" stay two rows. Rows without a key are
+    filtered first: that commutes with removing duplicates, reaches the Parquet scan as a pushed filter
+    and keeps those rows out of the shuffle. The distinct step combines copies inside each map task
+    before it shuffles, so many copies of one row cost one row per task.
+    """
+    require_columns(df, [*spec.required, *spec.casts, *spec.codes, *spec.renames], spec.name)
+    cleaned_names(df.columns, spec)
+    return project(df.where(all_present(spec.required)).dropDuplicates(), spec)
 
 
 def presence_split(df: DataFrame, flag: str) -> DataFrame:

@@ -8,23 +8,30 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratalake.functions import column
 from stratalake.operators import quality, report
 from stratalake.operators.clean import clean, presence_split
-from stratalake.plans import literacy, monitoring, standin
+from stratalake.plans import incremental, literacy, monitoring, standin
 from stratalake.plans import literacy_tables as tables
 from stratalake.session import work_folder
 from stratalake.sources import (
     decode_events,
+    decode_lines,
+    event_lines,
     land_csv,
+    publish,
     read_csv,
+    read_csv_text,
     read_events,
     read_parquet,
+    retire,
     write_parquet,
     write_partitioned,
 )
-from stratalake.streaming import envelope, start_ingest
+from stratalake.sources.events import REASON
+from stratalake.streaming import envelope, merge_events, remove_merged_files, start_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -54,31 +61,64 @@ def _written_csv(spark: SparkSession, df: DataFrame, label: str, separator: str
 
 @query
 def bronze_csv_inferred(spark, sf_dir):
-    """Comma CSV with inferred types to bronze Parquet and back."""
+    """Comma CSV to bronze and back: the text is read once, and the write job finds the types."""
+    spec = tables.MUNICIPIO
     path = _written_csv(spark, standin.raw(spark, sf_dir, "municipio"), "csv")
     bronze = work_folder(spark, "bronze")
-    write_parquet(read_csv(spark, path), bronze)
-    return read_parquet(spark, bronze).withColumn("id_municipio", F.col("id_municipio").cast("long"))
+    publish(read_csv_text(spark, path), bronze, infer=True, at_least=spec.casts)
+    return read_parquet(spark, bronze)
 
 
 @query
 def bronze_csv_semicolon(spark, sf_dir):
-    """Semicolon CSV with inferred types to bronze Parquet and back."""
+    """Semicolon CSV to bronze and back, types as above."""
     spec = tables.TS_ITEM
     path = _written_csv(spark, standin.raw(spark, sf_dir, "ts_item"), "csv", spec.separator)
     bronze = work_folder(spark, "bronze")
-    write_parquet(read_csv(spark, path, spec.separator), bronze)
-    return read_parquet(spark, bronze).withColumn("CO_ITEM", F.col("CO_ITEM").cast("long"))
+    publish(read_csv_text(spark, path, spec.separator), bronze, infer=True, at_least=spec.casts)
+    return read_parquet(spark, bronze)
 
 
 @query
 def bronze_csv_explicit(spark, sf_dir):
-    """Semicolon CSV of the microdata with its declared schema to bronze Parquet and back."""
+    """Semicolon CSV of the microdata with its declared schema to bronze and back; bronze keeps unreadable lines, here none."""
     spec = tables.TS_ALUNO
     path = _written_csv(spark, standin.raw(spark, sf_dir, "ts_aluno"), "csv", spec.separator)
     bronze = work_folder(spark, "bronze")
-    write_parquet(read_csv(spark, path, spec.separator, spec.schema), bronze)
-    return read_parquet(spark, bronze, spec.schema)
+    write_parquet(read_csv(spark, path, spec.separator, spec.schema, unreadable=literacy.UNREADABLE), bronze)
+    return read_parquet(spark, bronze).where(column(literacy.UNREADABLE).isNull()).drop(literacy.UNREADABLE)
+
+
+@query
+def bronze_csv_unreadable(spark, sf_dir):
+    """Realised rates under a schema that some codes do not fit: rows by network, and the lines kept of those that do not."""
+    spec = tables.MUNICIPIO
+    raw = standin.raw(spark, sf_dir, "municipio")
+    declared = T.StructType([T.StructField(n, spec.casts.get(n, T.StringType())) for n in raw.columns])
+    bronze = work_folder(spark, "bronze")
+    write_parquet(read_csv(spark, _written_csv(spark, raw, "csv"), schema=declared, unreadable=literacy.UNREADABLE), bronze)
+    kept = column(literacy.UNREADABLE)
+    return read_parquet(spark, bronze).groupBy("rede", "serie").agg(
+        F.count(F.lit(1)).alias("n"), F.count(kept).alias("unreadable"), F.count_if(kept.contains("n/d")).alias("without_series"), F.count_if(kept.contains("Estadual")).alias("named_network"),
+    )
+
+
+@query
+def bronze_csv_variants(spark, sf_dir):
+    """A folder whose files have three headers (whole, in another order, one column less), landed by names and read back."""
+    raw = standin.raw(spark, sf_dir, "municipio")
+    series = F.coalesce("serie", F.lit(""))
+    folder = work_folder(spark, "csv")
+    keep_blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    for part in (
+        raw.where(series == "2"),
+        raw.where(series == "n/d").select(*reversed(raw.columns)),
+        raw.where(~series.isin("2", "n/d")).drop("media_portugues"),
+    ):
+        part.write.mode("append").options(header=True, **keep_blanks).csv(folder)
+    landed = work_folder(spark, "landed")
+    land_csv(spark, folder, landed, at_least=tables.MUNICIPIO.casts, variants=True)
+    return read_parquet(spark, landed).select(*raw.columns)
 
 
 @query
@@ -105,14 +145,39 @@ def bronze_json_events(spark, sf_dir):
     return read_parquet(spark, bronze, spec.schema)
 
 
+@query
+def event_quarantine(spark, sf_dir):
+    """Stored lines of every type, some damaged: how many are good and how many are refused or changed for which reason."""
+    store = work_folder(spark, "events")
+    standin.damaged_lines(standin.table(spark, sf_dir, "events")).write.partitionBy("tipo_mensagem").text(store)
+    decoded = [
+        decode_lines(event_lines(spark, store, kind), spec.schema).select(F.lit(kind).alias("tipo_mensagem"), F.coalesce(REASON, F.lit("ok")).alias("reason"))
+        for kind, spec in tables.EVENTS.items()
+    ]
+    return reduce(DataFrame.unionByName, decoded).groupBy("tipo_mensagem", "reason").agg(F.count(F.lit(1)).alias("events"))
+
+
+@query
+def table_published(spark, sf_dir):
+    """The municipal fact published by year, one year replaced by half its rates, and rows of another year appended."""
+    path = work_folder(spark, "gold")
+    fact = fact_entity_target(spark, sf_dir).select("id_municipio", "ano", "rede", "taxa_realizada")
+    write_partitioned(fact, path, "ano")
+    halved = read_parquet(spark, path).where(F.col("ano") == 2027).withColumn("taxa_realizada", F.col("taxa_realizada") / 2)
+    write_partitioned(halved, path, "ano")
+    late = read_parquet(spark, path).where(F.col("ano") == 2026).withColumn("ano", F.lit(2099))
+    publish(late, path, "ano", how="append")
+    retire(spark, path, keep=1, min_age_s=0)
+    return read_parquet(spark, path)
+
+
 @query
 def batch_landing_partitioned(spark, sf_dir):
-    """A folder of CSV files landed as Parquet under the ingestion day, read back without the day."""
+    """A folder of CSV files landed under the ingestion day, read back without the day."""
     raw = standin.raw(spark, sf_dir, "meta_por_municipio")
     landed = work_folder(spark, "landed")
-    land_csv(spark, _written_csv(spark, raw, "csv"), landed)
-    columns = [F.col(name).cast("long") if name == "id_municipio" else F.col(name) for name in raw.columns]
-    return read_parquet(spark, landed).select(*columns)
+    land_csv(spark, _written_csv(spark, raw, "csv"), landed, at_least=tables.META_POR_MUNICIPIO.casts)
+    return read_parquet(spark, landed).select(*raw.columns)
 
 
 # --- silver ---------------------------------------------------------------------------------------
@@ -407,6 +472,46 @@ def event_stream_student(spark, sf_dir):
     return clean(read_events(spark, store, "dados_aluno", spec.schema), spec)
 
 
+def _delivered(spark: SparkSession, payloads: DataFrame, folder: str, store: str, checkpoint: str) -> None:
+    """Deliver payloads as new files of ``folder`` and let the stream of this checkpoint take them in."""
+    payloads.write.mode("append").parquet(folder)
+    stream = spark.readStream.schema("body binary").parquet(folder)
+    start_ingest(stream, store, checkpoint, trigger={"availableNow": True}).awaitTermination()
+
+
+def _two_deliveries(spark: SparkSession, sf_dir: str, between: Callable[[str], object]) -> str:
+    """A store that got the given events in two deliveries, those of the second half of the values twice; ``between`` comes in between."""
+    events = standin.table(spark, sf_dir, "events")
+    source, store, checkpoint = (work_folder(spark, label) for label in ("delivered", "store", "checkpoint"))
+    _delivered(spark, standin.event_payloads(events.where("value >= 50")), source, store, checkpoint)
+    between(store)
+    _delivered(spark, standin.event_payloads(events), source, store, checkpoint)
+    return store
+
+
+@query
+def event_store_merged(spark, sf_dir):
+    """Lines of a store whose first files were merged and removed before the stream went on: how often each event type and time is there."""
+    def merge(store):
+        merge_events(spark, store, before="9999-01-01")
+        remove_merged_files(spark, store)
+
+    store = _two_deliveries(spark, sf_dir, merge)
+    lines = event_lines(spark, store)
+    payload = F.get_json_object("line", "$._raw_data")
+    return lines.groupBy("tipo_mensagem", F.get_json_object(payload, "$.timestamp_evento").alias("timestamp_evento")).agg(F.count(F.lit(1)).alias("lines"))
+
+
+@query
+def silver_event_incremental(spark, sf_dir):
+    """Student events cleaned in two updates, the second over new files only, which hold events of the first again."""
+    spec, kind = tables.DADOS_ALUNO, "dados_aluno"
+    silver = work_folder(spark, "silver")
+    store = _two_deliveries(spark, sf_dir, lambda store: incremental.update_events(spark, store, silver, spec, kind))
+    incremental.update_events(spark, store, silver, spec, kind)
+    return incremental.silver_events(spark, silver)
+
+
 # --- reports --------------------------------------------------------------------------------------
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,14 +13,21 @@ from stratalake.operators import model
 from stratalake.operators.clean import clean
 from stratalake.plans import literacy_tables as tables
 from stratalake.sources import (
+    Written,
+    accepted,
+    decode_lines,
+    event_lines,
     files_outside_log,
     land_csv,
+    publish,
     read_csv,
-    read_events,
+    read_csv_text,
     read_parquet,
     write_parquet,
     write_partitioned,
 )
+from stratalake.sources.events import MISFIT, REASON, REFUSED_LINE, is_event
+from stratalake.streaming.ingest import UNKNOWN_TYPE
 
 # The bronze column that keeps lines whose values do not fit the declared types.
 UNREADABLE = "_unreadable"
@@ -116,36 +124,47 @@ def state_regions(spark: SparkSession) -> DataFrame:
 # Each returns {table: rows written}; the rows are counted by the write job itself.
 
 
+def _counted(name: str, written: Written) -> dict[str, int]:
+    """Rows under the table's name, other counts under "table.count" where they are not 0."""
+    return {name: written.rows, **{f"{name}.{what}": n for what, n in written.counts.items() if n}}
+
+
 def run_bronze(spark: SparkSession, landing: str, layers: Layers, specs=tables.LANDED_BATCH) -> dict[str, int]:
-    """Convert the landed CSV files to Parquet, unchanged.
+    """Bring the landed CSV files into bronze, unchanged. Every text is read once.
 
     Tables with a declared schema get a column UNREADABLE with the whole line where a value does not fit it. If there are
-    such rows, their number is returned as "table._unreadable".
+    such rows, their number is returned as "table._unreadable". Other tables keep their text, and the write job finds the
+    types; the types that the spec casts to are held at least.
     """
     written = {}
     for spec in specs:
-        kept = UNREADABLE if spec.schema else None
-        raw = read_csv(spark, f"{landing}/{spec.file_name}", spec.separator, spec.schema, unreadable=kept)
-        written[spec.name] = write_parquet(raw, f"{layers.bronze}/{spec.name}")
-        if kept:
-            bad = read_parquet(spark, f"{layers.bronze}/{spec.name}", raw.schema).where(F.col(kept).isNotNull()).count()
-            written |= {f"{spec.name}.{kept}": bad} if bad else {}
+        source, target = f"{landing}/{spec.file_name}", f"{layers.bronze}/{spec.name}"
+        if spec.schema:
+            raw = read_csv(spark, source, spec.separator, spec.schema, unreadable=UNREADABLE)
+            made = publish(raw, target, counting={UNREADABLE: F.count(column(UNREADABLE))})
+        else:
+            made = publish(read_csv_text(spark, source, spec.separator), target, infer=True, at_least=spec.casts)
+        written |= _counted(spec.name, made)
     return written
 
 
 def run_landing(spark: SparkSession, delivered: str, path: str, specs=tables.LANDED_BATCH) -> dict[str, int]:
-    """Land every delivered CSV file as Parquet under the ingestion day, one folder per table."""
-    return {
-        spec.name: land_csv(spark, f"{delivered}/{spec.file_name}", f"{path}/{spec.name}", spec.separator, spec.schema)
-        for spec in specs
-    }
+    """Land every delivered CSV file under the ingestion day, one folder per table; unreadable lines are counted as in bronze."""
+    written = {}
+    for spec in specs:
+        made = land_csv(spark, f"{delivered}/{spec.file_name}", f"{path}/{spec.name}", spec.separator, spec.schema, spec.casts)
+        written |= _counted(spec.name, made)
+    return written
 
 
 def run_bronze_events(
     spark: SparkSession, store: str, layers: Layers, outside_log: str = "error"
 ) -> dict[str, int]:
-    """Decode the stored events of each type into a typed Parquet table.
+    """Decode the stored events of each type into a typed table, in one pass.
 
+    Bronze keeps what cannot be decoded, with the reason and the line (see ``quarantine``); the number is returned as
+    "table._refused", that of events with a value that does not fit as "table._changed", that of events of no known type as
+    "unknown". The count of a table is that of its events.
     ``outside_log`` says what happens to files of a streamed store that its log does not name: "error" refuses
     them, "include" reads them as delivered by hand, "ignore" leaves them out as left by a failed attempt.
     """
@@ -156,9 +175,23 @@ def run_bronze_events(
         raise ValueError(f"{len(outside)} files in {store} are not in the stream's log, such as {outside[0]}")
     written = {}
     for kind, spec in tables.EVENTS.items():
-        typed = read_events(spark, store, kind, spec.schema, committed_only=outside_log != "include")
-        written[spec.name] = write_parquet(typed, f"{layers.bronze}/{spec.name}")
-    return written
+        lines = event_lines(spark, store, kind, committed_only=outside_log != "include")
+        decoded = decode_lines(lines, spec.schema)
+        counting = {REASON: F.count_if(~is_event()), "_changed": F.count_if(column(REASON) == MISFIT)}
+        made = publish(decoded, f"{layers.bronze}/{spec.name}", counting=counting)
+        written |= _counted(spec.name, replace(made, rows=made.rows - made.counts[REASON]))
+    unknown = event_lines(spark, store, UNKNOWN_TYPE, committed_only=outside_log != "include").count()
+    return written | ({UNKNOWN_TYPE: unknown} if unknown else {})
+
+
+def quarantine(spark: SparkSession, layers: Layers) -> DataFrame:
+    """(table, reason, line) of the stored events that bronze refused, or kept with a value less."""
+    found = [
+        read_parquet(spark, f"{layers.bronze}/{spec.name}").where(column(REASON).isNotNull())
+        .select(F.lit(spec.name).alias("table"), column(REASON).alias("reason"), column(REFUSED_LINE).alias("line"))
+        for spec in tables.EVENTS.values()
+    ]
+    return reduce(DataFrame.unionByName, found)
 
 
 def run_silver(spark: SparkSession, layers: Layers, specs=(*tables.CLEANED_BATCH, tables.TS_ALUNO)) -> dict[str, int]:
@@ -166,6 +199,7 @@ def run_silver(spark: SparkSession, layers: Layers, specs=(*tables.CLEANED_BATCH
     written = {}
     for spec in specs:
         raw = read_parquet(spark, f"{layers.bronze}/{spec.name}").drop(UNREADABLE)
+        raw = accepted(raw) if REASON in raw.columns else raw
         written[spec.name] = write_parquet(clean(raw, spec), f"{layers.silver}/{spec.name}")
     return written
 

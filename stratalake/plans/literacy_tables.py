@@ -108,7 +108,7 @@ TS_ESTADO = TableSpec(
     business_key=("ano", "sigla_uf", "TP_SERIE", "ID_TIPO_REDE"),
 )
 # Bronze only: it is landed but not cleaned.
-TS_ITEM = TableSpec(name="ts_item", file_name="TS_ITEM.csv", separator=";", required=())
+TS_ITEM = TableSpec(name="ts_item", file_name="TS_ITEM.csv", separator=";", required=(), casts={"CO_ITEM": LONG})
 
 TS_ALUNO = TableSpec(
     name="ts_aluno",

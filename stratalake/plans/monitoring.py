@@ -16,6 +16,7 @@ from stratalake.functions import column
 from stratalake.operators import quality
 from stratalake.operators.clean import require_columns
 from stratalake.plans import literacy_tables as tables
+from stratalake.sources import read_parquet
 
 REPORT_SCHEMA = (
     "dataset string, check string, subject string, value bigint, severity string, elapsed_s double, message string"
@@ -135,7 +136,7 @@ def monitor(
 def literacy_watches(spark: SparkSession, silver: str) -> dict[str, Watch]:
     """The cleaned literacy tables; of the microdata only the critical columns are profiled."""
     def reader(name):
-        return lambda: spark.read.parquet(f"{silver}/{name}")
+        return lambda: read_parquet(spark, f"{silver}/{name}")
 
     def targets(name, *keys):
         return {name: Relation(reader(name), keys)}
@@ -172,7 +173,7 @@ def literacy_relations(spark: SparkSession, silver: str) -> DataFrame:
         "municipio x meta_por_municipio": ("municipio", "meta_por_municipio", ["ano", "id_municipio"]),
         "ts_aluno x municipio": ("ts_aluno", "municipio", [("CO_MUNICIPIO", "id_municipio")]),
     }
-    return relations(lambda name: spark.read.parquet(f"{silver}/{name}"), checked)
+    return relations(lambda name: read_parquet(spark, f"{silver}/{name}"), checked)
 
 
 def star_relations(spark: SparkSession, gold: str) -> DataFrame:
@@ -183,4 +184,4 @@ def star_relations(spark: SparkSession, gold: str) -> DataFrame:
         "fato_indicador_uf x dim_uf": ("fato_indicador_uf", "dim_uf", ["sigla_uf"]),
         "fato_aluno_agregado x dim_municipio": ("fato_aluno_agregado", "dim_municipio", ["id_municipio"]),
     }
-    return relations(lambda name: spark.read.parquet(f"{gold}/{name}"), checked)
+    return relations(lambda name: read_parquet(spark, f"{gold}/{name}"), checked)

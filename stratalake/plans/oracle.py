@@ -6,7 +6,7 @@ The raw tables come from the shared derivations; everything after that is writte
 from __future__ import annotations
 
 from stratalake.plans import literacy_tables as tables
-from stratalake.plans.standin import INPUTS, RAW_SQL, raw_sql
+from stratalake.plans.standin import DAMAGE, INPUTS, RAW_SQL, raw_sql
 
 _TABLES = {name: name for name in INPUTS}
 _METAS = [f"{tables.TARGET_PREFIX}{y}" for y in tables.TARGET_YEARS]
@@ -209,6 +209,36 @@ def oracle_queries() -> dict[str, str]:
         "bronze_csv_semicolon": _with("SELECT * FROM raw_ts_item", "raw_ts_item"),
         "bronze_csv_explicit": _with("SELECT * FROM raw_ts_aluno", "raw_ts_aluno"),
         "bronze_csv_quoted": "SELECT doc_id, text FROM documents",
+        "bronze_csv_unreadable": _with(
+            """SELECT TRY_CAST(rede AS INTEGER) AS rede, TRY_CAST(serie AS INTEGER) AS serie, count(*) AS n,
+                      count(*) FILTER (WHERE serie = 'n/d' OR rede = 'Estadual') AS unreadable,
+                      count(*) FILTER (WHERE serie = 'n/d') AS without_series,
+                      count(*) FILTER (WHERE rede = 'Estadual') AS named_network
+               FROM raw_municipio GROUP BY 1, 2""",
+            "raw_municipio",
+        ),
+        "bronze_csv_variants": _with(
+            """SELECT CAST(ano AS INTEGER) AS ano, CAST(id_municipio AS BIGINT) AS id_municipio, serie, rede,
+               taxa_alfabetizacao, CASE WHEN serie IN ('2', 'n/d') THEN media_portugues END AS media_portugues
+               FROM raw_municipio""",
+            "raw_municipio",
+        ),
+        "event_quarantine": f"""
+SELECT {_EVENT_TYPE} AS tipo_mensagem, CASE {" ".join(f"WHEN value < {v} THEN '{r}'" for v, r in DAMAGE.items())} ELSE 'ok' END AS reason,
+       count(*) AS events
+FROM events WHERE event_type <> 'error' GROUP BY ALL""",
+        "event_store_merged": f"""
+SELECT {_EVENT_TYPE} AS tipo_mensagem, CASE WHEN event_type <> 'error' OR value >= 10 THEN {_EVENT_TIME} END AS timestamp_evento,
+       CAST(sum(CASE WHEN value >= 50 THEN 2 ELSE 1 END) AS BIGINT) AS lines
+FROM events GROUP BY ALL""",
+        "silver_event_incremental": _STUDENT_EVENT,
+        "table_published": _with(
+            """SELECT id_municipio, rede, CASE WHEN ano = 2027 THEN taxa_realizada / 2 ELSE taxa_realizada END AS taxa_realizada, ano
+               FROM fact_entity
+               UNION ALL
+               SELECT id_municipio, rede, taxa_realizada, 2099 FROM fact_entity WHERE ano = 2026""",
+            "fact_entity",
+        ),
         "bronze_json_events": f"""
 SELECT 'dados_aluno' AS tipo_mensagem, CAST(year(ts) AS INTEGER) AS NU_ANO, {_EVENT_UF},
        CASE WHEN value < 10 THEN ' ro ' ELSE 'RO' END AS SG_UF, event_id AS ID_ALUNO, 2 AS TP_SERIE,

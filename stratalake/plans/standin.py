@@ -8,7 +8,7 @@ Years move to the range that has targets.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.plans import literacy_tables as tables
@@ -213,8 +213,8 @@ EVENT_KINDS = {
 }
 
 
-def event_payloads(events: DataFrame) -> DataFrame:
-    """One binary ``body`` per event, as a message bus would deliver it. Works on streams too."""
+def _event_text(events: DataFrame) -> tuple[Column, Column]:
+    """The type of each event, NULL without one, and its JSON text."""
     kind = F.coalesce(*[F.when(F.col("event_type") == given, F.lit(k)) for given, k in EVENT_KINDS.items()])
     field = {
         "tipo_mensagem": kind,
@@ -255,4 +255,29 @@ def event_payloads(events: DataFrame) -> DataFrame:
     untyped = F.to_json(F.struct(field["timestamp_evento"].alias("timestamp_evento")))
     broken = F.concat(F.lit("<event "), F.col("event_id").cast("string"), F.lit(">"))
     payload = F.when(kind.isNotNull(), typed).when(F.col("value") < 10, broken).otherwise(untyped)
-    return events.select(payload.cast("binary").alias("body"))
+    return kind, payload
+
+
+def event_payloads(events: DataFrame) -> DataFrame:
+    """One binary ``body`` per event, as a message bus would deliver it. Works on streams too."""
+    return events.select(_event_text(events)[1].cast("binary").alias("body"))
+
+
+# Events with a value below these limits reach the store damaged; the others below 50 come in envelopes.
+DAMAGE = {2: "line is no JSON object", 4: "payload is no JSON object", 6: "no declared field", 8: "value does not fit"}
+
+
+def damaged_lines(events: DataFrame) -> DataFrame:
+    """Stored lines of the events that have a type, some torn, some with other content, with that type."""
+    kind, payload = _event_text(events)
+    value, torn = F.col("value"), F.expr("substring(payload, 1, length(payload) - 7)")
+    line = (
+        F.when(value < 2, torn)
+        .when(value < 4, F.to_json(F.struct(torn.alias("_raw_data"))))
+        .when(value < 6, F.lit('{"other": 1}'))
+        .when(value < 8, F.regexp_replace("payload", '"NU_ANO":[0-9]+', '"NU_ANO":"n/d"'))
+        .when(value < 50, F.to_json(F.struct(F.col("payload").alias("_raw_data"))))
+        .otherwise(F.col("payload"))
+    )
+    known = events.select("value", kind.alias("tipo_mensagem"), payload.alias("payload")).where("tipo_mensagem is not null")
+    return known.select(line.alias("value"), "tipo_mensagem")

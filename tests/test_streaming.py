@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from stratalake.operators.clean import clean
 from stratalake.plans import literacy_tables as tables
-from stratalake.sources import decode_events, read_events
+from stratalake.sources import decode_events, read_events, read_parquet
 from stratalake.streaming import envelope, start_ingest
 
 STUDENT = {
@@ -138,4 +138,4 @@ def test_files_delivered_by_hand_are_refused_or_included(spark, tmp_path):
         literacy.run_bronze_events(spark, str(store), layers)
     assert literacy.run_bronze_events(spark, str(store), layers, "ignore")["stream_aluno"] == 1
     assert literacy.run_bronze_events(spark, str(store), layers, "include")["stream_aluno"] == 2
-    assert rows(spark.read.parquet(f"{layers.bronze}/stream_aluno"), "ID_ALUNO") == [(2,), (777,)]
+    assert rows(read_parquet(spark, f"{layers.bronze}/stream_aluno"), "ID_ALUNO") == [(2,), (777,)]
