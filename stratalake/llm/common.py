@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # The characters that separate words: space and the five ASCII controls from tab to carriage return.
@@ -69,6 +69,15 @@ def uniform(*columns: str, salt: str) -> Column:
     return (F.xxhash64(F.lit(salt), *columns) % (1 << 30) + (1 << 30)) % (1 << 30) / float(1 << 30)
 
 
+def stratified(df: DataFrame, label: str, per_label: int, *keys: str, salt: str) -> DataFrame:
+    """Of each label the ``per_label`` rows that a hash of ``keys`` puts first; a label with fewer rows keeps all.
+
+    Every map task keeps so many rows a label before the shuffle, so that a frequent label is no hot group.
+    """
+    order = Window.partitionBy(label).orderBy(uniform(*keys, salt=salt), *keys)
+    return df.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= per_label).drop("_place")
+
+
 def label_fractions(df: DataFrame, label: str, per_label: int, max_labels: int) -> dict:
     """For the ``max_labels`` most frequent labels, the share of rows of which about ``per_label`` are drawn."""
     counts = df.groupBy(label).count().orderBy(F.desc("count"), label).limit(max_labels).collect()

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import drawn, label_fractions, map_texts, may_learn, held_out, uniform
+from stratalake.llm.common import map_texts, may_learn, held_out, stratified, uniform
 
 ORDERS = 3
 # n-grams are hashed to this many features.
@@ -95,21 +95,28 @@ def softmax(scores: np.ndarray) -> np.ndarray:
     return e / e.sum(1, keepdims=True)
 
 
-def train(docs: DataFrame, label: str = "lang", id_column: str = "doc_id", text_column: str = "text", per_label: int = 400, max_labels: int = 256, bound: int = 2000) -> dict:
-    """Fit on at most ``bound`` rows with a label that are not held out, about ``per_label`` of each label.
+def train(docs: DataFrame, label: str = "lang", id_column: str = "doc_id", text_column: str = "text", per_label: int = 400, bound: int = 2000) -> dict:
+    """Fit on at most ``bound`` rows with a label that are not held out, and on one row of every label at least.
 
-    Rows are drawn by a hash of their id, so reruns agree. What reaches the driver is one row of FEATURES bits each.
+    Each label gets an equal share of the bound, at most ``per_label`` rows, drawn by a hash of their id, so reruns agree. Rows
+    whose text has no letter are no samples; a label without others is not learned. What reaches the driver is one row of FEATURES
+    bits each: more than ``bound`` only if there are more labels.
     """
     rows = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[label].cast("string").alias("label"), docs[text_column].cast("string").alias("text"))
     rows = rows.where(F.col("label").isNotNull() & may_learn())
-    fractions = label_fractions(rows.select("label"), "label", per_label, max_labels)
-    sample = drawn(rows, "label", fractions, "doc_id", salt="langid")
+    labels = rows.agg(F.count_distinct("label")).first()[0]
+    share = max(1, min(per_label, bound // max(1, labels)))
+    lettered = rows.where(F.col("text").rlike(r"\p{L}"))
+    # Ids are drawn without their texts. They are no more than the sample, so sending them to all tasks is bounded as that is.
+    drawn = stratified(lettered.select("label", "doc_id"), "label", share, "doc_id", salt="langid").distinct()
+    found = lettered.join(F.broadcast(drawn), ["label", "doc_id"], "left_semi")
+    sample = stratified(found, "label", share, "doc_id", "text", salt="langid")
 
     def features(ids: list, labels: list, texts: list) -> list:
-        return [ids, labels, [has_letter(t) for t in texts], [np.packbits(r).tobytes() for r in presence([t or "" for t in texts])]]
+        return [ids, labels, [np.packbits(r).tobytes() for r in presence([t or "" for t in texts])]]
 
-    found = map_texts(sample, ["doc_id", "label", "text"], features, "doc_id long, label string, lettered boolean, bits binary", 128)
-    best = found.where("lettered").orderBy(uniform("doc_id", salt="order"), "doc_id", "label", "bits").limit(bound).collect()
+    found = map_texts(sample, ["doc_id", "label", "text"], features, "doc_id long, label string, bits binary", 128)
+    best = found.orderBy(uniform("doc_id", salt="order"), "doc_id", "label", "bits").collect()
     return fit([r["bits"] for r in best], [r["label"] for r in best])
 
 
