@@ -23,6 +23,10 @@ from stratalake.llm.common import map_texts
 
 # Runs between white space whose tokens a worker keeps.
 CACHE_RUNS = 400_000
+# Bytes of the cached runs and their tokens; a run beyond RUN_LETTERS is not cached, and its text goes to the library, as merging here
+# takes time with the square of a run's length.
+CACHE_BYTES = 64 << 20
+RUN_LETTERS = 512
 SPECIAL_START = "<|"
 PLAIN = re.compile("[\t-\r -~¡§©«®°·»¿À-įĲ-ňŊ-ž‐-‧€]*")
 END = "</w>"
@@ -149,6 +153,7 @@ class WordEncoder:
     def __init__(self, vocabulary: WordVocabulary):
         self.vocabulary = vocabulary
         self.ids: dict[str, bytes] = {}
+        self.held = 0
         self.library = Tokenizer.from_file(vocabulary.path)
         self.library.no_truncation()
         self.library.no_padding()
@@ -156,6 +161,7 @@ class WordEncoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Each text's token ids as little-endian unsigned 32-bit numbers; a null text is empty."""
         runs = [(t or "").lower().split() if _is_plain(t) else None for t in texts]
+        runs = [None if own and len(max(own, key=len)) > RUN_LETTERS else own for own in runs]
         self._learn(set().union(*(own for own in runs if own)))
         get = self.ids.__getitem__
         result = [b"".join(map(get, own)) if own is not None else None for own in runs]
@@ -166,8 +172,8 @@ class WordEncoder:
 
     def _learn(self, runs: set[str]) -> None:
         """Take the tokens of these runs into the cache."""
-        if len(self.ids) + len(runs) > CACHE_RUNS:
-            self.ids = {}
+        if len(self.ids) + len(runs) > CACHE_RUNS or self.held > CACHE_BYTES:
+            self.ids, self.held = {}, 0
         new = runs - self.ids.keys()
         whole = self.vocabulary.whole
         words = {r for r in new if r.isalpha()}
@@ -180,6 +186,7 @@ class WordEncoder:
         marks = {m: whole.get(m) or self.vocabulary.merge([m])[m] for m in MARKS}
         self.ids.update((r, tokens[r[:-1]] + marks[r[-1]]) for r in ended)
         self.ids.update((r, b"".join([tokens[p] for p in own])) for r, own in split.items())
+        self.held += sum(len(r) + len(self.ids[r]) for r in new)
 
 
 def _is_plain(text: str | None) -> bool:
