@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratalake.llm.common import WORD
@@ -18,8 +18,8 @@ CELLS = 65_536
 
 
 class Mix(NamedTuple):
-    """``documents``: id, source, size, source_size, target, taken. ``pieces``: the mix itself, in order of
-    position and source_no: mix_row, id, from_word, length, pass_no."""
+    """``documents``: id, source, size, source_size, target, taken, n_slots (of the source) and first_position (null if none is
+    taken). ``pieces``: the mix itself, in order of position: source_no, mix_row, id, pass_no, from_word, length."""
 
     documents: DataFrame
     pieces: DataFrame
@@ -71,12 +71,40 @@ def schedule(sources: DataFrame, slots: int) -> DataFrame:
     return inside.join(chunks, ["source_no", "chunk"]).select("slot", "source_no", (F.col("before") + F.col("place") - 1).alias("block"))
 
 
+def full_schedule(spark: SparkSession, sources: DataFrame, block_words: int, folder: str) -> DataFrame:
+    """slot, source_no and block for every block of every source, by as many rounds of ``schedule`` as it takes.
+
+    A round has one slot per block that is left. The points give some sources a few slots more than they have blocks, which stay
+    empty, and others a few less, whose blocks are left to the next round. The first point of a round always meets a source with a
+    block left, and what is left shrinks to a few blocks in the first round, so a handful of rounds follow.
+    """
+    schema = "slot long, source_no int, block long"
+    left = sources.select("source_no", F.ceil(F.col("quota") / block_words).alias("blocks"), F.lit(0).cast("long").alias("dealt"))
+    start = step = 0
+    while True:
+        left.write.parquet(f"{folder}/left/step={step}")
+        left = spark.read.schema("source_no int, blocks long, dealt long").parquet(f"{folder}/left/step={step}")
+        slots = left.agg(F.sum(F.col("blocks") - F.col("dealt"))).first()[0] or 0
+        if not slots:
+            break
+        waiting = left.select("source_no", "blocks", "dealt", (F.col("blocks") - F.col("dealt")).alias("quota"))
+        dealt = schedule(waiting.select("source_no", "quota"), int(slots)).withColumnRenamed("source_no", "to_source")
+        placed = dealt.join(waiting, F.col("to_source") == F.col("source_no")).where(F.col("block") < F.col("quota"))
+        placed.select((F.col("slot") + start).alias("slot"), "source_no", (F.col("block") + F.col("dealt")).alias("block")).write.parquet(f"{folder}/slots/step={step}")
+        counted = spark.read.schema(schema).parquet(f"{folder}/slots/step={step}").groupBy("source_no").agg(F.count(F.lit(1)).alias("more"))
+        after = left.join(counted, "source_no", "left").select("source_no", "blocks", (F.col("dealt") + F.coalesce("more", F.lit(0))).alias("dealt"))
+        start, step, left = start + int(slots), step + 1, after
+    if not step:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema + ", step int").parquet(f"{folder}/slots").drop("step")
+
+
 def mix(docs: DataFrame, weights: tuple = (5, 2, 1), share: float = 1.5, cap: float = 2.0, block_words: int = 1024, id_column: str = "doc_id", source_column: str = "source", text_column: str = "text") -> Mix:
     """Mix the documents so that every source's words come to its target (see ``source_targets``).
 
     A source's documents are shuffled by a hash of their id into one line of words, read at most ceil(cap) times, and cut into blocks of
-    ``block_words``; the last block ends at the quota. Its n-th slot of the schedule takes its n-th block. Blocks beyond the slots
-    that the points gave it (a few per source) close the mix. So taken words differ from a target by rounding only.
+    ``block_words``; the last block ends at the quota. Its n-th slot of the schedule takes its n-th block, and a block is in the mix only
+    by its slot. Slots are dealt until every block has one (``full_schedule``), so taken words differ from a target by rounding only.
 
     Null text: size 0, never taken; nor are documents of a source of size 0. A null source is a source. Repeated rows count
     each; equal ids are ordered by row. No rows give no rows; other columns are not read. Sizes, source tables, slots and pieces are
@@ -87,14 +115,12 @@ def mix(docs: DataFrame, weights: tuple = (5, 2, 1), share: float = 1.5, cap: fl
     spark = docs.sparkSession
     folder = work_folder(spark, "mix")
     given = docs.select(docs[id_column].alias("id"), docs[source_column].cast("string").alias("source"), word_count(docs[text_column].cast("string")).alias("size"))
-    placed = given.withColumn("mix_row", F.monotonically_increasing_id()).withColumn("place", F.xxhash64(F.lit("mix"), "id").bitwiseAND((1 << ORDER_BITS) - 1))
+    placed = given.withColumn("mix_row", F.monotonically_increasing_id()).withColumn("place", F.xxhash64(F.lit("mix"), "id", "mix_row").bitwiseAND((1 << ORDER_BITS) - 1))
     placed.write.parquet(folder + "/sizes")
     sizes = spark.read.schema(placed.schema).parquet(folder + "/sizes")
     source_targets(sizes, weights, share, cap).write.parquet(folder + "/sources")
     sources = spark.read.schema("source string, source_no int, source_size long, weight double, target double, quota long").parquet(folder + "/sources")
-    slots = sources.agg(F.sum(F.ceil(F.col("quota") / block_words))).first()[0] or 0
-    schedule(sources, int(slots)).write.parquet(folder + "/schedule")
-    planned = spark.read.schema("slot long, source_no int, block long").parquet(folder + "/schedule")
+    planned = full_schedule(spark, sources, block_words, folder)
 
     known = sizes.withColumnRenamed("source", "given").join(sources, F.col("given").eqNullSafe(sources["source"])).drop("given")
     line = known.withColumn("bucket", F.shiftright("place", ORDER_BITS - BUCKET_BITS))
@@ -111,10 +137,13 @@ def mix(docs: DataFrame, weights: tuple = (5, 2, 1), share: float = 1.5, cap: fl
         "mix_row", "id", "source_no", "block", "pass_no", (F.greatest("low", F.col("block") * block_words) - F.col("low")).alias("from_word"),
         (F.least("high", (F.col("block") + 1) * block_words) - F.greatest("low", F.col("block") * block_words)).alias("length"),
     )
-    closing = F.lit(int(slots)).cast("long") + F.col("block")
-    pieces = cut.join(planned, ["source_no", "block"], "left").select(F.coalesce("slot", closing).alias("position"), "source_no", "mix_row", "id", "pass_no", "from_word", "length")
+    pieces = cut.join(planned, ["source_no", "block"]).select(F.col("slot").alias("position"), "source_no", "mix_row", "id", "pass_no", "from_word", "length")
     pieces.write.parquet(folder + "/pieces")
     pieces = spark.read.schema(pieces.schema).parquet(folder + "/pieces")
-    taken = pieces.groupBy("mix_row").agg(F.sum("length").alias("taken"))
-    documents = known.join(taken, "mix_row", "left").select(F.col("id").alias(id_column), "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"))
+    taken = pieces.groupBy("mix_row").agg(F.sum("length").alias("taken"), F.min("position").alias("first_position"))
+    dealt = planned.groupBy(F.col("source_no").alias("dealt_to")).agg(F.count(F.lit(1)).alias("n_slots"))
+    known = known.join(dealt, F.col("source_no") == F.col("dealt_to"), "left")
+    documents = known.join(taken, "mix_row", "left").select(
+        F.col("id").alias(id_column), "source", "size", "source_size", "target", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("taken", "n_slots")], "first_position"
+    )
     return Mix(documents, pieces)

@@ -56,7 +56,7 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents")).documents
-    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "n_slots", "first_position")
 
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,21 +93,20 @@ QUERIES = {
     )
 }
 
-# Top-k over quantised vectors: the query's own row is left out by its id.
+# Top-k over quantised vectors: every row is a candidate but the query's own.
 TOP_K_SQL = """
 WITH v AS (
-  SELECT vec_id, min(list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT))) AS v
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-  GROUP BY vec_id
 ), scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+  SELECT q.r AS query_row, q.vec_id AS query_id, c.vec_id AS vec_id, c.r AS r,
          CAST(coalesce(list_sum(list_transform(range(1, least(len(q.v), len(c.v)) + 1), lambda i: q.v[i] * c.v[i])), 0) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id
+  FROM v q JOIN v c ON q.r <> c.r
   WHERE q.vec_id % 50 = 0
 )
-SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_row ORDER BY score DESC, vec_id, r) AS INTEGER) AS rank, vec_id, score
 FROM scored
 QUALIFY rank <= 5
 """

@@ -7,11 +7,10 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 
-import duckdb
 import numpy as np
 import pytest
 
-from stratalake.llm import divergence, queries, warc, whitening
+from stratalake.llm import divergence, warc, whitening
 
 SMALL = "/root/testdata/sf0.001"
 TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
@@ -275,16 +274,3 @@ def test_records_of_any_stretches(size):
 
 def test_pages_without_rows(spark):
     assert warc.resolve_pages(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
-
-
-@pytest.mark.parametrize("name", ["op11_divergence", "op13_warc"])
-def test_query_equals_sql_on_small(spark, name):
-    connection = duckdb.connect()
-    for table in ("documents", "pages"):
-        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
-    relation = connection.execute(queries.ORACLE[name])
-    got = queries.QUERIES[name](spark, SMALL)
-    names = sorted(got.columns)
-    assert sorted(d[0] for d in relation.description) == names
-    order = [[d[0] for d in relation.description].index(n) for n in names]
-    assert sorted_rows(got.select(*names).collect()) == sorted_rows(tuple(r[i] for i in order) for r in relation.fetchall())

@@ -117,6 +117,36 @@ def test_language(spark, odd, empty):
     assert {r["lang_pred"] for r in langid.identify(odd, langid.train(empty)).collect()} == {"und"}
 
 
+def test_every_language_is_learned(spark):
+    """Also of more languages than the bound has rows, and one that a third of all rows have does not crowd out the others."""
+    rows = [(4 * i + j, f"{chr(0x4E00 + 7 * i) * 5} {chr(0x3041 + i % 80) * 3} x{j}", f"l{i}") for i in range(300) for j in range(4)]
+    rows += [(10_000 + i, "the and of", "hot") for i in range(600)] + [(20_000, "12 34", "no letter"), (None, "abc", "no id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learnable = {r[2] for r in rows if r[0] is not None and zlib.crc32(str(r[0]).encode()) % 4 != 2} - {"no letter"}
+    model = langid.train(docs, bound=100)
+    assert set(model["languages"]) == learnable and len(learnable) > 256
+    assert len(langid.train(docs, bound=10**6, per_label=3)["languages"]) == len(learnable)
+
+
+def test_repeated_rows_with_different_labels(spark):
+    docs = spark.createDataFrame([(1, "abc def", lang) for lang in ("a", "b", "a", "b")] * 3, "doc_id long, text string, lang string")
+    assert langid.train(docs)["languages"] == ["a", "b"]
+    assert {r["lang_pred"] for r in langid.identify(docs, langid.train(docs)).collect()} == {"a"}
+
+
+def test_long_runs_take_no_quadratic_time():
+    import time
+
+    rng = np.random.default_rng(3)
+    run = "".join(rng.choice(list("abcdefghij"), 1_000_000))
+    texts = [run, "short words " + run[:70_000] + " and more", "x" * 513, "y" * 512]
+    library = Tokenizer.from_file(PATH)
+    started = time.monotonic()
+    got = word_tokens.encoder(PATH).encode(texts)
+    assert time.monotonic() - started < 20
+    assert got == [np.array(e.ids, "<u4").tobytes() for e in library.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_toxicity(spark, odd, empty):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     model = toxicity.train(docs, labels)
@@ -137,18 +167,43 @@ def test_toxicity_finds_the_sentence():
     assert toxicity.rated("Fine words here. More of it.", model)[0] < 0.3
 
 
+def brute_top(vectors, every=50, k=5):
+    """Rows (id, vector) against all other rows, in Python's integers."""
+    kept = [(i, [int(np.floor(256 * float(x))) for x in v]) for i, v in vectors if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    found = []
+    for n, (q, a) in enumerate(kept):
+        if q % every == 0:
+            best = sorted((-sum(x * y for x, y in zip(a, b)), i) for m, (i, b) in enumerate(kept) if m != n)[:k]
+            found += [(q, rank, i, -s) for rank, (s, i) in enumerate(best, 1)]
+    return sorted(found)
+
+
+TOP_SCHEMA = "vec_id long, embedding array<double>, row long, score string, high int"
+
+
+def top_rows(spark, vectors):
+    df = spark.createDataFrame([(i, v, 1, "x", 2) for i, v in vectors], TOP_SCHEMA)
+    return sorted(map(tuple, topk.exact_top_k(df).collect()))
+
+
 def test_top_k_equals_brute_force(spark):
     draw = np.random.default_rng(5)
     vectors = [(i, [float(x) for x in draw.integers(-2, 3, 6) / 8]) for i in range(240)]
-    vectors += [vectors[50], (None, [1.0] * 6), (1000, None), (1001, [1.0, None]), (1002, [float("nan")] * 6), (1003, []), (1004, [0.5, 0.25])]
-    df = spark.createDataFrame(vectors, "vec_id long, embedding array<float>")
-    kept = {i: np.array([*np.floor(256 * np.array(v, float)), *[0] * (6 - len(v))], int) for i, v in vectors if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)}
-    want = set()
-    for q in (i for i in kept if i % 50 == 0):
-        best = sorted(((-int(kept[q] @ v), i) for i, v in kept.items() if i != q))[:5]
-        want |= {(q, rank, i, -s) for rank, (s, i) in enumerate(best, 1)}
-    assert {tuple(r) for r in topk.exact_top_k(df).collect()} == want
-    assert topk.exact_top_k(df.limit(0)).count() == 0
+    vectors += [vectors[50], (50, [1.0, 1.0]), (3, [2.0, 2.0]), (None, [1.0] * 6), (1000, None), (1001, [1.0, None]), (1002, [float("nan")] * 6), (1003, []), (1004, [0.5, 0.25])]
+    assert top_rows(spark, vectors) == brute_top(vectors)
+    assert top_rows(spark, []) == [] == top_rows(spark, [(1, [1.0])]) and top_rows(spark, [(0, [1.0]), (0, [2.0])]) == [(0, 1, 0, 131072)] * 2
+
+
+def test_top_k_of_large_components(spark):
+    """No component saturates, and sums beyond 64 bits are ordered right; only what cannot be returned is an error."""
+    large = [(0, [524289.0, 1.0]), (1, [600000.0, 0.0]), (2, [-3e6, 5.0]), (3, [2e7, -2e7])]
+    assert (0, 2, 1, 20615882342400000) in top_rows(spark, large) and top_rows(spark, large) == brute_top(large)
+    beyond = [(0, [1e12, 1.0])] + [(i, [1.0 + i, 0.5]) for i in range(1, 6)] + [(7, [-1e15, 0.0]), (8, [-1e16, 0.0])]
+    assert top_rows(spark, beyond) == brute_top(beyond)
+    with pytest.raises(Exception, match="no 64-bit number"):
+        top_rows(spark, [(0, [1e12]), (1, [1e12])])
+    with pytest.raises(Exception, match="vector 9 is too large"):
+        top_rows(spark, [(0, [1.0]), (9, [1e300])])
 
 
 def brute_components(rows):
@@ -238,6 +293,23 @@ def test_mixing(spark, odd, empty):
     assert mixing.mix(empty).documents.count() == 0
 
 
+def test_mix_comes_through_its_schedule(spark, monkeypatch):
+    """Every taken word has a slot of its source, blocks fill whole slots, and without slots nothing is taken."""
+    docs = spark.read.parquet(SMALL + "/documents.parquet")
+    found = mixing.mix(docs, block_words=256)
+    pieces = found.pieces.groupBy("position").agg({"length": "sum", "source_no": "min", "*": "count"}).collect()
+    by_source = Counter(r["min(source_no)"] for r in pieces)
+    slots = {r["source"]: r["n_slots"] for r in found.documents.select("source", "n_slots").distinct().collect()}
+    assert sorted(by_source.values()) == sorted(slots.values())
+    assert sum(r["sum(length)"] < 256 for r in pieces) <= len(slots) and all(r["sum(length)"] <= 256 for r in pieces)
+    first = {r["mix_row"]: r["p"] for r in found.pieces.groupBy("mix_row").agg({"position": "min"}).withColumnRenamed("min(position)", "p").collect()}
+    assert sorted(first.values()) == sorted(r["first_position"] for r in found.documents.where("taken > 0").collect())
+    planned = mixing.full_schedule
+    monkeypatch.setattr(mixing, "full_schedule", lambda *a: planned(*a).limit(0))
+    emptied = mixing.mix(docs, block_words=256).documents
+    assert emptied.agg({"taken": "sum"}).first()[0] == 0 < found.documents.agg({"taken": "sum"}).first()[0]
+
+
 def test_schedule_is_spread(spark):
     sources = spark.createDataFrame([(1, 6000), (2, 3000), (3, 1000)], "source_no int, quota long")
     rows = sorted((r["slot"], r["source_no"], r["block"]) for r in mixing.schedule(sources, 1000).collect())
@@ -326,7 +398,7 @@ def test_common_lines_deplete(spark):
 @pytest.mark.parametrize("name", queries.ORACLE)
 def test_query_equals_sql(spark, name):
     connection = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "pages"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
     frame = queries.QUERIES[name](spark, SMALL)
     want = connection.execute(queries.ORACLE[name])
