@@ -161,8 +161,13 @@ class WordEncoder:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Each text's token ids as little-endian unsigned 32-bit numbers; a null text is empty."""
         runs = [(t or "").lower().split() if _is_plain(t) else None for t in texts]
-        runs = [None if own and len(max(own, key=len)) > RUN_LETTERS else own for own in runs]
-        self._learn(set().union(*(own for own in runs if own)))
+        needed = set().union(*(own for own in runs if own))
+        # Long runs are never cached, so they are always among the new ones.
+        long = {r for r in needed - self.ids.keys() if len(r) > RUN_LETTERS}
+        if long:
+            runs = [None if own is None or not long.isdisjoint(own) else own for own in runs]
+            needed = set().union(*(own for own in runs if own))
+        self._learn(needed)
         get = self.ids.__getitem__
         result = [b"".join(map(get, own)) if own is not None else None for own in runs]
         other = [i for i, own in enumerate(runs) if own is None]
