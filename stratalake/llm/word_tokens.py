@@ -163,7 +163,7 @@ class WordEncoder:
         runs = [(t or "").lower().split() if _is_plain(t) else None for t in texts]
         needed = set().union(*(own for own in runs if own))
         # Long runs are never cached, so they are always among the new ones.
-        long = {r for r in needed - self.ids.keys() if len(r) > RUN_LETTERS}
+        long = {r for r in needed if len(r) > RUN_LETTERS and r not in self.ids}
         if long:
             runs = [None if own is None or not long.isdisjoint(own) else own for own in runs]
             needed = set().union(*(own for own in runs if own))
@@ -179,14 +179,15 @@ class WordEncoder:
         """Take the tokens of these runs into the cache."""
         if len(self.ids) + len(runs) > CACHE_RUNS or self.held > CACHE_BYTES:
             self.ids, self.held = {}, 0
-        new = runs - self.ids.keys()
+        # Taking the keys of the cache from a set would go through the whole cache.
+        new = {r for r in runs if r not in self.ids}
         whole = self.vocabulary.whole
         words = {r for r in new if r.isalpha()}
         ended = [r for r in new if r[-1] in MARKS and r[:-1].isalpha()]
         split = {r: PRE_TOKEN.findall(r) for r in new - words - set(ended)}
         needed = words.union((r[:-1] for r in ended), *split.values())
-        tokens = {w: whole[w] for w in needed & whole.keys()}
-        tokens.update(self.vocabulary.merge(list(needed - whole.keys())))
+        tokens = {w: whole[w] for w in needed if w in whole}
+        tokens.update(self.vocabulary.merge([w for w in needed if w not in whole]))
         self.ids.update((w, tokens[w]) for w in words)
         marks = {m: whole.get(m) or self.vocabulary.merge([m])[m] for m in MARKS}
         self.ids.update((r, tokens[r[:-1]] + marks[r[-1]]) for r in ended)
