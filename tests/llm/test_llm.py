@@ -134,19 +134,6 @@ def test_repeated_rows_with_different_labels(spark):
     assert {r["lang_pred"] for r in langid.identify(docs, langid.train(docs)).collect()} == {"a"}
 
 
-def test_long_runs_take_no_quadratic_time():
-    import time
-
-    rng = np.random.default_rng(3)
-    run = "".join(rng.choice(list("abcdefghij"), 1_000_000))
-    texts = [run, "short words " + run[:70_000] + " and more", "x" * 513, "y" * 512]
-    library = Tokenizer.from_file(PATH)
-    started = time.monotonic()
-    got = word_tokens.encoder(PATH).encode(texts)
-    assert time.monotonic() - started < 20
-    assert got == [np.array(e.ids, "<u4").tobytes() for e in library.encode_batch(texts, add_special_tokens=False)]
-
-
 def test_toxicity(spark, odd, empty):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     model = toxicity.train(docs, labels)
