@@ -2,7 +2,7 @@
 
 Whole-token shortcut: which vocabulary strings come out as one token when encoded alone is worked out once, on the
 driver, by running the merges on each of them. Pre-tokens found among these need no merging; the others are merged, all distinct
-ones of a slice at once, as rows of a numpy matrix. White space always ends a pre-token, so the result for a run between white
+ones of a slice at once, as rows of a numpy matrix, and pre-tokens of over ``LONG_LETTERS`` letters by the library. White space always ends a pre-token, so the result for a run between white
 space is kept in a bounded cache and a text is the sum (or concatenation) over its runs.
 
 The shortcut knows how the file at hand normalises and splits text for the characters in ``PLAIN``. A text with
@@ -23,6 +23,10 @@ from stratalake.llm.common import map_texts
 
 # Runs between white space whose tokens a worker keeps.
 CACHE_RUNS = 400_000
+# Bytes of the runs and tokens kept, beyond which the cache starts anew.
+CACHE_BYTES = 64 << 20
+# Pre-tokens beyond this many letters are merged by the library: merging them as rows takes time with the square of their length.
+LONG_LETTERS = 256
 SPECIAL_START = "<|"
 PLAIN = re.compile("[\t-\r -~¡§©«®°·»¿À-įĲ-ňŊ-ž‐-‧€]*")
 END = "</w>"
@@ -149,6 +153,7 @@ class WordEncoder:
     def __init__(self, vocabulary: WordVocabulary):
         self.vocabulary = vocabulary
         self.ids: dict[str, bytes] = {}
+        self.held = 0
         self.library = Tokenizer.from_file(vocabulary.path)
         self.library.no_truncation()
         self.library.no_padding()
@@ -160,14 +165,14 @@ class WordEncoder:
         get = self.ids.__getitem__
         result = [b"".join(map(get, own)) if own is not None else None for own in runs]
         other = [i for i, own in enumerate(runs) if own is None]
-        for i, found in zip(other, self.library.encode_batch([texts[i] for i in other], add_special_tokens=False)):
-            result[i] = np.array(found.ids, "<u4").tobytes()
+        for i, found in zip(other, self._by_library([texts[i] for i in other])):
+            result[i] = found
         return result
 
     def _learn(self, runs: set[str]) -> None:
         """Take the tokens of these runs into the cache."""
-        if len(self.ids) + len(runs) > CACHE_RUNS:
-            self.ids = {}
+        if len(self.ids) + len(runs) > CACHE_RUNS or self.held > CACHE_BYTES:
+            self.ids, self.held = {}, 0
         new = runs - self.ids.keys()
         whole = self.vocabulary.whole
         words = {r for r in new if r.isalpha()}
@@ -175,11 +180,19 @@ class WordEncoder:
         split = {r: PRE_TOKEN.findall(r) for r in new - words - set(ended)}
         needed = words.union((r[:-1] for r in ended), *split.values())
         tokens = {w: whole[w] for w in needed & whole.keys()}
-        tokens.update(self.vocabulary.merge(list(needed - whole.keys())))
+        rest = needed - whole.keys()
+        long = [w for w in rest if len(w) > LONG_LETTERS]
+        tokens.update(zip(long, self._by_library(long)))
+        tokens.update(self.vocabulary.merge(list(rest.difference(long))))
         self.ids.update((w, tokens[w]) for w in words)
         marks = {m: whole.get(m) or self.vocabulary.merge([m])[m] for m in MARKS}
         self.ids.update((r, tokens[r[:-1]] + marks[r[-1]]) for r in ended)
         self.ids.update((r, b"".join([tokens[p] for p in own])) for r, own in split.items())
+        self.held += sum(len(r) + len(self.ids[r]) for r in new)
+
+    def _by_library(self, texts: list[str]) -> list[bytes]:
+        found = self.library.encode_batch(texts, add_special_tokens=False) if texts else []
+        return [np.array(f.ids, "<u4").tobytes() for f in found]
 
 
 def _is_plain(text: str | None) -> bool:

@@ -4,6 +4,7 @@ import hashlib
 import os
 import re
 import sys
+import time
 import zlib
 from collections import Counter
 
@@ -53,6 +54,21 @@ def test_tokens_equal_library(spark, odd):
     assert got == sorted((len(t.encode()), len(w) // 4, len(w) > 4 * 2048) for t, w in zip([t or "" for t in texts_of(odd)], want))
 
 
+def test_long_runs_equal_library_in_near_linear_time():
+    encoder = word_tokens.WordEncoder(word_tokens.WordVocabulary(PATH))
+    rng = np.random.default_rng(5)
+    letters = lambda n: "".join(rng.choice(list("abcdeinorstuéß"), n))
+    texts = [letters(n) for n in (255, 256, 257, 1000, 1 << 20)]
+    texts += ["-" * 70_000, "a1" * 40_000, f"so {letters(5000)}, then {letters(300)}! {'x_' * 900}", ("é" * 600 + " ") * 3]
+    started = time.monotonic()
+    got = encoder.encode(texts)
+    assert time.monotonic() - started < 20
+    assert got == [np.array(e.ids, "<u4").tobytes() for e in encoder.library.encode_batch(texts, add_special_tokens=False)]
+    assert encoder.held == sum(len(r) + len(t) for r, t in encoder.ids.items())
+    encoder.held = word_tokens.CACHE_BYTES + 1
+    assert encoder.encode(["new"]) and encoder.ids.keys() == {"new"}
+
+
 def test_whole_tokens_are_proven():
     vocabulary = word_tokens.encoder(PATH).vocabulary
     library = Tokenizer.from_file(PATH)
