@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.functions import column, lenient_cast, normalise_code
+from stratalake.operators.distinct import distinct_rows
 from stratalake.specs import TableSpec
 
 
@@ -64,6 +65,13 @@ def clean(df: DataFrame, spec: TableSpec) -> DataFrame:
     return project(df.where(all_present(spec.required)).dropDuplicates(), spec)
 
 
+def clean_stored(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """``clean`` of a stored table with wide rows: its duplicates are found by digests, see ``distinct_rows``."""
+    require_columns(df, [*spec.required, *spec.casts, *spec.codes, *spec.renames], spec.name)
+    cleaned_names(df.columns, spec)
+    return project(distinct_rows(df.where(all_present(spec.required))), spec)
+
+
 def presence_split(df: DataFrame, flag: str) -> DataFrame:
     """Rows present (flag 1) and absent (flag 0), counted in one pass. A NULL flag is neither."""
     return df.agg(

@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 
 from stratalake.functions import column
 from stratalake.operators import quality, report
-from stratalake.operators.clean import clean, presence_split
-from stratalake.plans import incremental, literacy, monitoring, standin
+from stratalake.operators.clean import clean, clean_stored, presence_split
+from stratalake.plans import changed_years, incremental, literacy, monitoring, standin
 from stratalake.plans import literacy_tables as tables
 from stratalake.session import work_folder
 from stratalake.sources import (
@@ -223,6 +223,14 @@ def silver_student(spark, sf_dir):
     return silver(spark, sf_dir, "ts_aluno")
 
 
+@query
+def silver_student_digests(spark, sf_dir):
+    """The stored microdata cleaned with duplicates found by digests; some of the rows are there twice."""
+    bronze = work_folder(spark, "bronze")
+    write_parquet(standin.raw(spark, sf_dir, "ts_aluno"), bronze)
+    return clean_stored(read_parquet(spark, bronze), tables.TS_ALUNO)
+
+
 @query
 def presence_counts(spark, sf_dir):
     return presence_split(silver(spark, sf_dir, "ts_aluno"), "IN_PRESENCA_LP")
@@ -305,6 +313,23 @@ def fact_year_pruned(spark, sf_dir):
     return _stored_fact(spark, sf_dir).where(F.col("ano") == 2027)
 
 
+@query
+def fact_years_updated(spark, sf_dir):
+    """The municipal fact built without 2026, then updated: 2026 has come, 2025 has left, the rates of 2027 are halved."""
+    stored = {}
+    for name in ("municipio", "meta_por_municipio"):
+        path = work_folder(spark, name)
+        write_parquet(silver(spark, sf_dir, name), path)
+        stored[name] = read_parquet(spark, path)
+    root, year, rate = work_folder(spark, "gold"), column("ano"), column("taxa_alfabetizacao")
+    halved = stored["municipio"].withColumn("taxa_alfabetizacao", F.when(year == 2027, rate / 2).otherwise(rate))
+    for rows, missing in ((stored["municipio"], 2026), (halved, 2025)):
+        left = {"municipio": rows, "meta_por_municipio": stored["meta_por_municipio"]}
+        sources = {n: changed_years.Source(t.where(~year.eqNullSafe(missing)), "ano") for n, t in left.items()}
+        changed_years.update_by_year(spark, root, "ano", sources, literacy.fato_indicador)
+    return read_parquet(spark, root)
+
+
 # --- data quality ---------------------------------------------------------------------------------
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stratalake.functions import column, decode
 from stratalake.operators import model
-from stratalake.operators.clean import clean
+from stratalake.operators.clean import clean, clean_stored
 from stratalake.plans import literacy_tables as tables
 from stratalake.sources import (
     Written,
@@ -195,17 +195,18 @@ def quarantine(spark: SparkSession, layers: Layers) -> DataFrame:
 
 
 def run_silver(spark: SparkSession, layers: Layers, specs=(*tables.CLEANED_BATCH, tables.TS_ALUNO)) -> dict[str, int]:
-    """Clean bronze tables. Pass the specs of ``literacy_tables.EVENTS`` to clean events."""
+    """Clean bronze tables, wide ones by digests. Pass the specs of ``literacy_tables.EVENTS`` to clean events."""
     written = {}
     for spec in specs:
         raw = read_parquet(spark, f"{layers.bronze}/{spec.name}").drop(UNREADABLE)
         raw = accepted(raw) if REASON in raw.columns else raw
-        written[spec.name] = write_parquet(clean(raw, spec), f"{layers.silver}/{spec.name}")
+        cleaned = clean_stored(raw, spec) if spec.wide else clean(raw, spec)
+        written[spec.name] = write_parquet(cleaned, f"{layers.silver}/{spec.name}")
     return written
 
 
 def run_gold(spark: SparkSession, layers: Layers) -> dict[str, int]:
-    """Build the star schema. The municipal fact is partitioned by year."""
+    """Build the star schema whole. The municipal fact is partitioned by year. ``changed_years`` rebuilds changed years only."""
 
     def silver(spec):
         return read_parquet(spark, f"{layers.silver}/{spec.name}")

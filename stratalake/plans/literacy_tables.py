@@ -114,6 +114,7 @@ TS_ALUNO = TableSpec(
     name="ts_aluno",
     file_name="TS_ALUNO.csv",
     separator=";",
+    wide=True,
     required=("ID_ALUNO", "CO_MUNICIPIO"),
     codes=("SG_UF",),
     business_key=("NU_ANO_AVALIACAO", "ID_ALUNO", "ID_ESCOLA"),

@@ -239,6 +239,11 @@ FROM events GROUP BY ALL""",
                SELECT id_municipio, rede, taxa_realizada, 2099 FROM fact_entity WHERE ano = 2026""",
             "fact_entity",
         ),
+        "fact_years_updated": _with(
+            """SELECT * REPLACE (CASE WHEN ano = 2027 THEN taxa_realizada / 2 ELSE taxa_realizada END AS taxa_realizada)
+               FROM fact_entity WHERE ano IS DISTINCT FROM 2025""",
+            "fact_entity",
+        ),
         "bronze_json_events": f"""
 SELECT 'dados_aluno' AS tipo_mensagem, CAST(year(ts) AS INTEGER) AS NU_ANO, {_EVENT_UF},
        CASE WHEN value < 10 THEN ' ro ' ELSE 'RO' END AS SG_UF, event_id AS ID_ALUNO, 2 AS TP_SERIE,
@@ -259,6 +264,7 @@ FROM events WHERE event_type = 'view'""",
         "silver_clean_renamed": _with("SELECT * FROM ts_municipio", "ts_municipio"),
         "silver_clean_renamed_state": _with("SELECT * FROM ts_estado", "ts_estado"),
         "silver_student": _with("SELECT * FROM ts_aluno", "ts_aluno"),
+        "silver_student_digests": _with("SELECT * FROM ts_aluno", "ts_aluno"),
         "presence_counts": _with(
             """SELECT count(*) FILTER (WHERE IN_PRESENCA_LP = 1) AS present,
                       count(*) FILTER (WHERE IN_PRESENCA_LP = 0) AS absent FROM ts_aluno""",

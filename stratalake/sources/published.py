@@ -9,7 +9,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -49,7 +49,10 @@ class Written:
 
 @dataclass(frozen=True)
 class Snapshot:
-    """A published state. ``written`` counts the partitions of each write, ``rows`` its rows; ``notes`` are the writer's own."""
+    """A published state. ``written`` counts the partitions of each write, ``rows`` its rows; ``notes`` are the writer's own.
+
+    ``types`` are those of the last write, which hold where the table has no part.
+    """
 
     number: int
     partition_by: tuple[str, ...]
@@ -58,10 +61,11 @@ class Snapshot:
     written: Mapping[str, int] = field(default_factory=dict)
     rows: Mapping[str, int] = field(default_factory=dict)
     notes: Mapping = field(default_factory=dict)
+    types: str = ""
 
     def schema(self) -> T.StructType:
         """Columns of all parts with types that hold all of them, then the partition columns."""
-        schemas = dict.fromkeys(p.types for p in self.parts)
+        schemas = dict.fromkeys(p.types for p in self.parts) or [self.types or T.StructType([]).json()]
         held = lattice.join_schemas(*[_schema(s) for s in schemas])
         return T.StructType([*held.fields, *_schema(self.partition_types).fields])
 
@@ -91,7 +95,7 @@ def snapshot(spark: SparkSession, root: str, number: int | None = None) -> Snaps
         return None
     read = json.loads(files.read(_manifest(root, numbers[-1])))
     parts = tuple(Part(*[read["texts"][x] if i > 1 else x for i, x in enumerate(p)]) for p in read["parts"])
-    return Snapshot(numbers[-1], tuple(read["partition_by"]), read["partition_types"], parts, read["written"], read["rows"], read["notes"])
+    return Snapshot(numbers[-1], tuple(read["partition_by"]), read["partition_types"], parts, read["written"], read["rows"], read["notes"], read.get("types", ""))
 
 
 def _text(s: Snapshot) -> str:
@@ -100,7 +104,7 @@ def _text(s: Snapshot) -> str:
     parts = [(p.version, p.partition, place[p.columns], place[p.types]) for p in s.parts]
     return json.dumps({
         "partition_by": s.partition_by, "partition_types": s.partition_types, "texts": texts, "parts": parts,
-        "written": s.written, "rows": s.rows, "notes": s.notes,
+        "written": s.written, "rows": s.rows, "notes": s.notes, "types": s.types,
     })
 
 
@@ -114,6 +118,8 @@ def publish(
     rebalance: bool = True,
     notes: Mapping | None = None,
     counting: Mapping[str, Column] | None = None,
+    without: Sequence[str] = (),
+    after: int | None = None,
 ) -> Written:
     """Write ``df`` and publish it. The write job itself counts the rows and the aggregates of ``counting``.
 
@@ -122,6 +128,9 @@ def publish(
     the bits of ``lattice`` are aggregated by the write job, and reading casts. So a later write with wider values changes the type
     of a column without a rewrite, and no text is lost. ``notes`` replace those of the last state.
 
+    With "partitions" the partitions ``without`` (such as "year=2024") go too, written or not. ``after`` is the number of
+    the state, 0 for none, that ``df`` was made from; if another one is the last by now that is a ``Conflict``.
+
     Only ``append`` may meet a state published meanwhile: it is put on top of that. Others raise ``Conflict``, and nothing changes.
     """
     if how not in ("table", "partitions", "append"):
@@ -130,6 +139,8 @@ def publish(
         raise ValueError(f"{VERSION} is a name of published tables")
     spark, files = df.sparkSession, Files(df.sparkSession)
     before = snapshot(spark, root)
+    if after is not None and after != (before.number if before else 0):
+        raise Conflict(f"{root} was published by somebody else after number {after}")
     if before and how != "table" and before.partition_by != partition_by:
         raise ValueError(f"{root} is partitioned by {before.partition_by}, not by {partition_by}")
     version, watched = uuid.uuid4().hex, Observation()
@@ -149,13 +160,13 @@ def publish(
     while True:
         kept = [] if before is None or how == "table" else list(before.parts)
         if how == "partitions":
-            kept = [p for p in kept if p.partition not in set(partitions)]
+            kept = [p for p in kept if p.partition not in {*partitions, *without}]
         parts = tuple(kept + made)
         used = {p.version for p in parts}
         older = before or Snapshot(0, partition_by, partition_types, ())
         written = {**{v: n for v, n in older.written.items() if v in used}, version: len(partitions)}
         rows = {**{v: n for v, n in older.rows.items() if v in used}, version: found["rows"]}
-        state = Snapshot(older.number + 1, partition_by, partition_types, parts, written, rows, dict(older.notes if notes is None else notes))
+        state = Snapshot(older.number + 1, partition_by, partition_types, parts, written, rows, dict(older.notes if notes is None else notes), types.json())
         try:
             files.create(_manifest(root, state.number), _text(state))
             return Written(found["rows"], {n: found[f"count {n}"] for n in counting}, types)

@@ -13,7 +13,8 @@ class TableSpec:
     """Cleaning rules and keys of one table.
 
     ``required``, ``casts``, ``codes`` and ``renames`` use the raw column names; ``business_key`` uses the
-    cleaned ones. ``schema`` is None where the full header is not known and the reader infers it.
+    cleaned ones. ``schema`` is None where the full header is not known and the reader infers it. ``wide`` marks
+    tables whose rows are too wide to be shuffled whole for the sake of a few duplicates.
     """
 
     name: str
@@ -25,3 +26,4 @@ class TableSpec:
     schema: T.StructType | None = None
     file_name: str | None = None
     separator: str = ","
+    wide: bool = False

@@ -212,3 +212,14 @@ def test_landing_counts_unreadable_lines(spark, tmp_path):
     made = land_csv(spark, str(tmp_path / "a.csv"), str(tmp_path / "out"), schema=schema)
     assert made.rows == 2 and made.counts == {"_unreadable": 1}
     assert rows(read_parquet(spark, str(tmp_path / "out")), "a", "_unreadable") == [(None, "zz,y"), (1, None)]
+
+
+def test_a_partitioned_table_without_rows_keeps_its_columns(spark, tmp_path):
+    root = str(tmp_path / "t")
+    publish(frame(spark), root, "ano")
+    assert read_table(spark, root).dtypes == [("id", "int"), ("v", "string"), ("ano", "int")]
+    publish(frame(spark, (1, "a", 2023), (2, "b", 2024)), root, "ano")
+    publish(frame(spark, (3, "c", 2025)), root, "ano", how="partitions", without=["ano=2023", "ano=2022"], after=2)
+    assert rows(read_table(spark, root), "id") == [(2,), (3,)]
+    with pytest.raises(Conflict):
+        publish(frame(spark), root, "ano", how="partitions", after=2)
