@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from stratalake.functions import column
 from stratalake.operators import quality, report
 from stratalake.operators.clean import clean, clean_stored, presence_split
-from stratalake.plans import changed_years, incremental, literacy, monitoring, standin
+from stratalake.plans import changed_years, history, incremental, literacy, monitoring, standin
 from stratalake.plans import literacy_tables as tables
 from stratalake.session import work_folder
 from stratalake.sources import (
@@ -440,6 +440,23 @@ def dq_volume(spark, sf_dir):
     )
 
 
+@query
+def dq_volume_history(spark, sf_dir):
+    """Orders a month and priority as volumes of kept runs, tripled for one priority in July, against earlier months."""
+    orders = standin.table(spark, sf_dir, "orders")
+    month = F.trunc("o_orderdate", "month")
+    volumes = orders.groupBy(F.col("o_orderpriority").alias("dataset"), month.alias("month")).agg(F.count(F.lit(1)).alias("n"))
+    planted = (F.month("month") == 7) & (F.col("dataset") == "1-URGENT")
+    found = volumes.select(
+        "dataset", F.lit("volume").alias("check"), F.lit("rows").alias("subject"), F.when(planted, F.col("n") * 3).otherwise(F.col("n")).alias("value"),
+        F.lit("ok").alias("severity"), F.lit(1.0).alias("elapsed_s"), F.lit(None).cast("string").alias("message"),
+        F.col("month").cast("string").alias("run"), F.col("month").cast("timestamp").alias("at"),
+    )
+    root = work_folder(spark, "findings")
+    publish(found, root, how="append")
+    return history.judge(history.kept_findings(spark, root)).select("dataset", "run", "value", "usual_value", "severity", "message")
+
+
 @query
 def dq_cleaning_effect(spark, sf_dir):
     """Rows of every cleaned table before and after cleaning."""

@@ -391,6 +391,25 @@ FROM events WHERE event_type = 'view'""",
             ),
             *[f"raw_{name}" for name in RAW_SQL],
         ),
+        "dq_volume_history": """
+WITH volumes AS (
+  SELECT o_orderpriority AS dataset, CAST(CAST(date_trunc('month', o_orderdate) AS DATE) AS VARCHAR) AS run,
+         CASE WHEN month(any_value(o_orderdate)) = 7 AND o_orderpriority = '1-URGENT' THEN 3 ELSE 1 END * count(*) AS value
+  FROM orders GROUP BY o_orderpriority, date_trunc('month', o_orderdate)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY run) AS pos FROM volumes),
+past AS (
+  SELECT r.dataset, r.pos, CAST(p.value AS DOUBLE) AS value, median(CAST(p.value AS DOUBLE)) OVER (PARTITION BY r.dataset, r.pos) AS usual
+  FROM placed r JOIN placed p ON p.dataset = r.dataset AND p.pos BETWEEN r.pos - 30 AND r.pos - 1),
+known AS (
+  SELECT dataset, pos, any_value(usual) AS usual, count(*) AS earlier,
+         greatest(CAST(1.4826 AS DOUBLE) * median(abs(value - usual)), CAST(0.1 AS DOUBLE) * abs(any_value(usual))) AS spread
+  FROM past GROUP BY dataset, pos),
+judged AS (
+  SELECT v.dataset, v.run, v.value, k.usual, coalesce(k.earlier >= 5 AND abs(v.value - k.usual) > 5 * k.spread, false) AS odd
+  FROM placed v LEFT JOIN known k ON k.dataset = v.dataset AND k.pos = v.pos)
+SELECT dataset, run, CAST(value AS BIGINT) AS value, usual AS usual_value, CASE WHEN odd THEN 'alert' ELSE 'ok' END AS severity,
+       CASE WHEN odd THEN 'volume unlike earlier runs' END AS message
+FROM judged""",
         "dq_cleaning_effect": _with(
             " UNION ALL ".join(_effect(name, keys) for name, keys in _REQUIRED.items()),
             *[f"raw_{name}" for name in _REQUIRED],

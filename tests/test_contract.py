@@ -19,7 +19,7 @@ from stratalake.plans.oracle import oracle_queries
 # These run jobs of their own; what they return is a read or a finished report.
 RUNNING = {
     "fact_year_pruned", "dq_fact_grain", "dq_monitor_report", "event_quarantine", "event_store_merged", "silver_event_incremental", "table_published", "silver_student_digests",
-    "fact_years_updated",
+    "fact_years_updated", "dq_volume_history",
     *(name for name in QUERIES if name.startswith(("bronze_", "batch_", "event_stream_"))),
 }
 
