@@ -27,6 +27,7 @@ from stratalake.sources import (
     read_events,
     read_parquet,
     retire,
+    table_profile,
     write_parquet,
     write_partitioned,
 )
@@ -440,6 +441,30 @@ def dq_volume(spark, sf_dir):
     )
 
 
+@query
+def dq_profile_kept(spark, sf_dir):
+    """Orders published by status with profiles, one status replaced, later orders appended without a profile: the merged profile."""
+    orders = standin.table(spark, sf_dir, "orders")
+    root = work_folder(spark, "profiled")
+    publish(orders, root, "o_orderstatus", profile=True)
+    changed = read_parquet(spark, root).where(F.col("o_orderstatus") == "F")
+    changed = changed.withColumn("o_custkey", F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_custkey")))
+    publish(changed, root, "o_orderstatus", how="partitions", profile=True)
+    late = orders.withColumns({"o_orderkey": -F.col("o_orderkey"), "o_orderstatus": F.lit("later")}).where(F.col("o_orderpriority") == "5-LOW")
+    publish(late, root, "o_orderstatus", how="append")
+    return table_profile(spark, root)
+
+
+@query
+def dq_monitor_stored(spark, sf_dir):
+    """The monitoring report of line items as published, from the profile of the write and the kept count of copies, without the times."""
+    root = work_folder(spark, "watched")
+    publish(standin.table(spark, sf_dir, "lineitem"), root, profile=True)
+    watch = monitoring.Watch(lambda: read_parquet(spark, root), ["l_orderkey", "l_linenumber"], stored=root)
+    monitoring.monitor(spark, {"lineitem": watch})
+    return monitoring.monitor(spark, {"lineitem": watch}).drop("elapsed_s", "message")
+
+
 @query
 def dq_volume_history(spark, sf_dir):
     """Orders a month and priority as volumes of kept runs, tripled for one priority in July, against earlier months."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import time
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -16,7 +18,8 @@ from stratalake.functions import column
 from stratalake.operators import quality
 from stratalake.operators.clean import require_columns
 from stratalake.plans import literacy_tables as tables
-from stratalake.sources import read_parquet
+from stratalake.sources import read_parquet, read_table, snapshot, table_profile
+from stratalake.sources.published import kept_result
 
 REPORT_SCHEMA = (
     "dataset string, check string, subject string, value bigint, severity string, elapsed_s double, message string"
@@ -39,7 +42,9 @@ class Relation:
 class Watch:
     """A table to monitor: how to read it, its business key and the columns whose NULLs matter.
 
-    ``relations`` are checked under their labels, ``whole_rows`` asks for rows that are equal in all columns.
+    ``relations`` are checked under their labels, ``whole_rows`` asks for rows that are equal in all columns. ``stored`` is the folder of a
+    published table that ``read`` gives unchanged: volume and NULLs then come from its profiles, and what is found about copies is
+    kept with the published state, so that a table nobody wrote to is not scanned again.
     """
 
     read: Callable[[], DataFrame]
@@ -47,12 +52,46 @@ class Watch:
     critical_columns: Sequence[str] | None = None
     relations: Mapping[str, Relation] = field(default_factory=dict)
     whole_rows: bool = False
+    stored: str | None = None
 
 
 def _row(check: str, subject: str, value: Column) -> Column:
     return F.struct(F.lit(check).alias("check"), F.lit(subject).alias("subject"), value.cast("bigint").alias("value"))
 
 
+def _copies(df: DataFrame, watch: Watch) -> list[DataFrame]:
+    """Duplicate keys and copies of whole rows, each a scan."""
+    checks = []
+    if watch.business_key:
+        measures = [_row("duplicates", name, F.col(name)) for name in ("duplicate_groups", "surplus_rows")]
+        duplicates = quality.duplicate_keys(df, watch.business_key)
+        checks.append(duplicates.select(F.inline(F.array(*measures))))
+    if watch.whole_rows:
+        copies = quality.duplicate_keys(df, df.columns)
+        checks.append(copies.select(F.inline(F.array(_row("row_copies", "surplus_rows", F.col("surplus_rows"))))))
+    return checks
+
+
+def stored_findings(spark: SparkSession, watch: Watch) -> DataFrame:
+    """``findings`` of the published table at ``watch.stored``, scanning only what is not known of its last state."""
+    state = snapshot(spark, watch.stored)
+    if state is None:
+        raise FileNotFoundError(f"nothing is published in {watch.stored}")
+    names = list(watch.critical_columns or state.schema().names)
+    require_columns(spark.createDataFrame([], state.schema()), names, "findings")
+    profile = table_profile(spark, watch.stored, state.number)
+    total = profile.agg(F.coalesce(F.max("row_count"), F.lit(0)).alias("n")).select(F.inline(F.array(_row("volume", "rows", F.col("n")))))
+    nulls = profile.where(column("column_name").isin(names)).select(F.lit("nulls").alias("check"), F.col("column_name").alias("subject"), F.col("null_count").alias("value"))
+    asked = json.dumps([list(watch.business_key), watch.whole_rows])
+
+    def counted() -> list:
+        df = read_table(spark, watch.stored, state.number)
+        return [list(r) for part in _copies(df, watch) for r in part.collect()]
+
+    copies = kept_result(spark, watch.stored, state.number, hashlib.sha256(asked.encode()).hexdigest()[:16], counted)
+    return total.union(nulls).union(spark.createDataFrame([tuple(r) for r in copies], "check string, subject string, value bigint"))
+
+
 def findings(df: DataFrame, watch: Watch) -> DataFrame:
     """(check, subject, value) rows of volume, NULL counts and duplicates, as one Spark job.
 
@@ -63,14 +102,7 @@ def findings(df: DataFrame, watch: Watch) -> DataFrame:
     every = F.count(F.lit(1))
     counted = [_row("volume", "rows", every), *[_row("nulls", n, every - F.count(column(n))) for n in names]]
     checks = [df.agg(F.array(*counted).alias("found")).select(F.inline("found"))]
-    if watch.business_key:
-        measures = [_row("duplicates", name, F.col(name)) for name in ("duplicate_groups", "surplus_rows")]
-        duplicates = quality.duplicate_keys(df, watch.business_key)
-        checks.append(duplicates.select(F.inline(F.array(*measures))))
-    if watch.whole_rows:
-        copies = quality.duplicate_keys(df, df.columns)
-        checks.append(copies.select(F.inline(F.array(_row("row_copies", "surplus_rows", F.col("surplus_rows"))))))
-    return reduce(DataFrame.unionByName, checks)
+    return reduce(DataFrame.unionByName, [*checks, *_copies(df, watch)])
 
 
 def relation_findings(df: DataFrame, label: str, relation: Relation) -> DataFrame:
@@ -108,7 +140,7 @@ def monitor(
     began = time.monotonic()
     jobs = []
     for name, watch in watches.items():
-        jobs.append((name, None, lambda w=watch: findings(w.read(), w)))
+        jobs.append((name, None, lambda w=watch: stored_findings(spark, w) if w.stored else findings(w.read(), w)))
         for label, relation in watch.relations.items():
             jobs.append((name, label, lambda w=watch, n=label, r=relation: relation_findings(w.read(), n, r)))
 

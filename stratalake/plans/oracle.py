@@ -175,6 +175,15 @@ def _monitored(name: str, columns, keys, more=()) -> str:
 FROM ({" UNION ALL ".join(parts)})"""
 
 
+_LINE_COLUMNS = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+    "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+)
+
+_PROFILED = """
+  SELECT * REPLACE (CASE WHEN o_orderstatus IS DISTINCT FROM 'F' OR o_orderpriority <> '1-URGENT' THEN o_custkey END AS o_custkey) FROM orders
+  UNION ALL SELECT * REPLACE (-o_orderkey AS o_orderkey, 'later' AS o_orderstatus) FROM orders WHERE o_orderpriority = '5-LOW'"""
+
 _EVENT_TYPE = """CASE event_type WHEN 'view' THEN 'dados_aluno' WHEN 'click' THEN 'dados_municipio'
   WHEN 'purchase' THEN 'dados_indicadores' WHEN 'signup' THEN 'dados_itens' ELSE 'unknown' END"""
 _EVENT_TIME = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')"
@@ -373,10 +382,7 @@ FROM events WHERE event_type = 'view'""",
                 ),
                 _monitored(
                     "lineitem",
-                    (
-                        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
-                        "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
-                    ),
+                    _LINE_COLUMNS,
                     ("l_orderkey", "l_linenumber"),
                 ),
                 "SELECT 'absent', 'read_failed', NULL, NULL, 'alert'",
@@ -391,6 +397,15 @@ FROM events WHERE event_type = 'view'""",
             ),
             *[f"raw_{name}" for name in RAW_SQL],
         ),
+        "dq_profile_kept": "WITH kept AS (" + _PROFILED + ") " + " UNION ALL ".join(
+            f"""SELECT '{name}' AS column_name, count(*) AS row_count, count(*) - count({name}) AS null_count,
+                      CAST(min({name}) AS VARCHAR) AS low, CAST(max({name}) AS VARCHAR) AS high FROM kept"""
+            for name in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+        ),
+        "dq_monitor_stored": " UNION ALL ".join([
+            _monitored("lineitem", _LINE_COLUMNS, ("l_orderkey", "l_linenumber")),
+            "SELECT 'total', 'latency', NULL, NULL, 'ok'",
+        ]),
         "dq_volume_history": """
 WITH volumes AS (
   SELECT o_orderpriority AS dataset, CAST(CAST(date_trunc('month', o_orderdate) AS DATE) AS VARCHAR) AS run,

@@ -7,7 +7,7 @@ from stratalake.sources.events import (
     files_outside_log,
     read_events,
 )
-from stratalake.sources.published import Conflict, Written, publish, read_table, retire, snapshot
+from stratalake.sources.published import Conflict, Written, publish, read_table, retire, snapshot, table_profile
 from stratalake.sources.readers import csv_variants, read_csv, read_csv_text, read_parquet
 from stratalake.sources.writers import land_csv, write_parquet, write_partitioned
 
@@ -30,6 +30,7 @@ __all__ = [
     "read_table",
     "retire",
     "snapshot",
+    "table_profile",
     "write_parquet",
     "write_partitioned",
 ]

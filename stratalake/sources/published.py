@@ -2,6 +2,9 @@
 
 ``root``/_data/_version=<id> holds the files of one write, ``root``/_published/<number>.json the manifests. Readers take the
 manifest with the highest number, so a write that ends half way is never seen. A plain read of ``root`` finds no files.
+
+``root``/_profiles holds, for writes that asked for it, the profile of each partition they wrote (see ``profiles``), and results
+that were kept for one published state.
 """
 
 from __future__ import annotations
@@ -9,8 +12,8 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -18,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratalake.functions import column
-from stratalake.sources import lattice
+from stratalake.sources import lattice, profiles
 from stratalake.sources.files import Files
 
 VERSION = "_version"
@@ -82,6 +85,10 @@ def _folder(root: str, version: str, partition: str = "") -> str:
     return f"{root.rstrip('/')}/_data/{VERSION}={version}/{partition}".rstrip("/")
 
 
+def _profile_folder(root: str, version: str, partition: str = "") -> str:
+    return f"{root.rstrip('/')}/_profiles/{VERSION}={version}/{partition}".rstrip("/")
+
+
 def _numbers(files: Files, root: str) -> list[int]:
     names = files.names(f"{root.rstrip('/')}/_published")
     return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json") and not n.startswith("."))
@@ -120,6 +127,7 @@ def publish(
     counting: Mapping[str, Column] | None = None,
     without: Sequence[str] = (),
     after: int | None = None,
+    profile: bool = False,
 ) -> Written:
     """Write ``df`` and publish it. The write job itself counts the rows and the aggregates of ``counting``.
 
@@ -131,6 +139,9 @@ def publish(
     With "partitions" the partitions ``without`` (such as "year=2024") go too, written or not. ``after`` is the number of
     the state, 0 for none, that ``df`` was made from; if another one is the last by now that is a ``Conflict``.
 
+    ``profile`` keeps the profile of every partition for ``table_profile``. The write job measures it where a table has no partitions and
+    types are known; otherwise the files just written are read once.
+
     Only ``append`` may meet a state published meanwhile: it is put on top of that. Others raise ``Conflict``, and nothing changes.
     """
     if how not in ("table", "partitions", "append"):
@@ -149,6 +160,9 @@ def publish(
     counting = dict(counting or {})
     measured = [F.count(F.lit(1)).alias("rows"), *[c.alias(f"count {n}") for n, c in counting.items()]]
     measured += lattice.kinds(content) if infer else []
+    at_once = profile and not infer and not partition_by
+    # Its first measure is the number of rows, which is measured already.
+    measured += profiles.measures(content)[1:] if at_once else []
     writer = placed.observe(watched, *measured).write
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(_folder(root, version))
     found = watched.get
@@ -156,6 +170,15 @@ def publish(
     partitions = files.folders(_folder(root, version), len(partition_by))
     made = [Part(version, p, content.schema.json(), types.json()) for p in partitions]
     partition_types = T.StructType([df.schema[name] for name in partition_by]).json()
+    if profile and made:
+        new = Snapshot(0, partition_by, partition_types, tuple(made), {version: len(partitions)}, types=types.json())
+        if at_once:
+            kept = spark.createDataFrame(profiles.entries(content.schema, found), profiles.SCHEMA)
+        else:
+            kept = profiles.profiled(_read(spark, root, new), partition_by)
+        # One task holds a partition's profile, so that each folder gets one small file.
+        kept = kept.repartition(*[column(n) for n in partition_by]) if partition_by else kept.coalesce(1)
+        (kept.write.partitionBy(*partition_by) if partition_by else kept.write).parquet(_profile_folder(root, version))
 
     while True:
         kept = [] if before is None or how == "table" else list(before.parts)
@@ -185,7 +208,11 @@ def read_table(spark: SparkSession, root: str, number: int | None = None) -> Dat
     state = snapshot(spark, root, number)
     if state is None:
         raise FileNotFoundError(f"nothing is published in {root}")
-    schema = state.schema()
+    return _read(spark, root, state)
+
+
+def _read(spark: SparkSession, root: str, state: Snapshot, schema: T.StructType | None = None) -> DataFrame:
+    schema = schema or state.schema()
     groups: dict[str, list[Part]] = {}
     for part in state.parts:
         groups.setdefault(part.columns, []).append(part)
@@ -196,12 +223,7 @@ def read_table(spark: SparkSession, root: str, number: int | None = None) -> Dat
 
 def _scan(spark: SparkSession, root: str, state: Snapshot, columns: str, parts: list[Part], schema: T.StructType) -> DataFrame:
     stored = _schema(columns)
-    by_version: dict[str, list[str]] = {}
-    for part in parts:
-        by_version.setdefault(part.version, []).append(part.partition)
-    # A write whose partitions all count is read by its folder.
-    whole = {v for v, own in by_version.items() if len(own) == state.written.get(v)}
-    paths = [_folder(root, v, p) for v, own in by_version.items() for p in ([""] if v in whole else own)]
+    paths = _paths(root, state, parts, _folder)
     fields = [*stored.fields, *_schema(state.partition_types).fields, T.StructField(VERSION, T.StringType())]
     files = spark.read.schema(T.StructType(fields)).option("basePath", f"{root.rstrip('/')}/_data").parquet(*paths)
     own = {f.name: f.dataType for f in fields}
@@ -213,6 +235,53 @@ def _scan(spark: SparkSession, root: str, state: Snapshot, columns: str, parts:
     return files.select(*[taken(f) for f in schema.fields])
 
 
+def _paths(root: str, state: Snapshot, parts: list[Part], folder) -> list[str]:
+    by_version: dict[str, list[str]] = {}
+    for part in parts:
+        by_version.setdefault(part.version, []).append(part.partition)
+    # A write whose partitions all count is read by its folder.
+    whole = {v for v, own in by_version.items() if len(own) == state.written.get(v)}
+    return [folder(root, v, p) for v, own in by_version.items() for p in ([""] if v in whole else own)]
+
+
+def table_profile(spark: SparkSession, root: str, number: int | None = None) -> DataFrame:
+    """Per column of the published state: column_name, row_count, null_count, low, high, from kept profiles.
+
+    Only parts without a usable profile are scanned: those written without one, and those with a column that was no text when it was
+    measured and is text by now, as text has another order. See ``profiles.merged``.
+    """
+    state = snapshot(spark, root, number)
+    if state is None:
+        raise FileNotFoundError(f"nothing is published in {root}")
+    schema = state.schema()
+    kept = set(Files(spark).names(f"{root.rstrip('/')}/_profiles"))
+    carried = {text: all(profiles.carries(f, schema[f.name].dataType) for f in _schema(text).fields) for text in {p.types for p in state.parts}}
+    usable = [p for p in state.parts if f"{VERSION}={p.version}" in kept and carried[p.types]]
+    others = tuple(p for p in state.parts if p not in set(usable))
+    names = [c.strip().split()[0] for c in profiles.SCHEMA.split(",")]
+    found = spark.createDataFrame([], profiles.SCHEMA)
+    if usable:
+        stored = spark.read.schema(profiles.SCHEMA).option("basePath", f"{root.rstrip('/')}/_profiles")
+        found = found.union(stored.parquet(*_paths(root, state, usable, _profile_folder)).select(*names))
+    if others:
+        found = found.union(profiles.profiled(_read(spark, root, replace(state, parts=others), schema)))
+    return profiles.merged(found, schema)
+
+
+def kept_result(spark: SparkSession, root: str, number: int, name: str, make: Callable[[], object]):
+    """What ``make`` gave for the state ``number``: kept as JSON beside the profiles, since a published state never changes."""
+    path = f"{root.rstrip('/')}/_profiles/{number:012d}-{name}.json"
+    files = Files(spark)
+    if files.exists(path):
+        return json.loads(files.read(path))
+    result = make()
+    try:
+        files.create(path, json.dumps(result))
+    except FileExistsError:
+        pass
+    return result
+
+
 def is_published(spark: SparkSession, root: str) -> bool:
     return bool(_numbers(Files(spark), root))
 
@@ -233,5 +302,9 @@ def retire(spark: SparkSession, root: str, keep: int = 2, min_age_s: int = 86_40
     for name, changed in files.names(f"{root.rstrip('/')}/_data").items():
         version = name.removeprefix(f"{VERSION}=")
         if version not in used and time.time() - changed >= min_age_s:
+            files.delete(_profile_folder(root, version))
             gone += files.delete(_folder(root, version))
+    for name in files.names(f"{root.rstrip('/')}/_profiles"):
+        if name.endswith(".json") and name.partition("-")[0] in {f"{n:012d}" for n in numbers[:-keep]}:
+            files.delete(f"{root.rstrip('/')}/_profiles/{name}")
     return gone
