@@ -1,10 +1,13 @@
 """Secret scan: fixed patterns, and a small character convolutional network over every other candidate.
 
-A candidate is a run of CANDIDATE characters of some length. The network sees it with the text around it as a window of
-characters and is trained on labelled findings: what the patterns found is secret, other candidates are not. A
-second copy of every finding has its surroundings blanked, so that a secret is known without a telling word before it.
-Scores are calibrated on findings kept aside. Of the thresholds that find a set share of these, those with the fewest false
-findings are a range; its middle is taken.
+A candidate is a run of 16 or more CANDIDATE characters that no pattern found. The network sees it with the text around it as a window
+of characters; a candidate longer than a window's inside is seen by overlapping windows and scores their maximum.
+
+Labelled findings come from the texts themselves. Secret are the patterns' matches, and values of published key formats (``planted_secret``) put
+at places of the texts without a telling word. Clean are candidates that a hand-written rule knows (``known_clean``: prose, joined words, card and phone
+numbers, dates, addresses, uuids), and such values put at places too (``planted_clean``). Candidates that no rule knows are not
+labelled. A second copy of every finding has its surroundings blanked. Scores are calibrated on findings kept aside; the threshold
+finds a set share of the secrets among these, and recall and false findings there are part of the model.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import map_texts, uniform
+from stratalake.llm.common import map_texts, stratified, uniform
 
 KINDS = ("assign", "access", "hex", "model")
 # The base patterns of the contract. A run that is too short fails as a whole, so its length can stand in the pattern.
@@ -62,10 +65,73 @@ _CODE[33:127] = np.arange(94)
 
 
 def window(text: str, start: int, end: int) -> bytes:
-    """Character codes around a candidate: the text before, its head and, if it is longer, its tail, the text after."""
-    head, tail = (end, end) if end - start <= INSIDE else (start + INSIDE - 10, end - 10)
-    inside = text[start:head] + text[tail:end]
-    return _codes(text[max(0, start - BEFORE) : start], BEFORE, True) + _codes(inside, INSIDE, False) + _codes(text[end : end + AFTER], AFTER, False)
+    """Character codes around a run of at most INSIDE characters: the text before, the run, the text after."""
+    return _codes(text[max(0, start - BEFORE) : start], BEFORE, True) + _codes(text[start:end], INSIDE, False) + _codes(text[end : end + AFTER], AFTER, False)
+
+
+def windows(text: str, start: int, end: int) -> list[bytes]:
+    """The windows of a candidate: one, or if it is longer than INSIDE several that overlap by half and cover it."""
+    if end - start <= INSIDE:
+        return [window(text, start, end)]
+    return [window(text, a, a + INSIDE) for a in (*range(start, end - INSIDE, INSIDE // 2), end - INSIDE)]
+
+
+_PROSE = re.compile(r"(?:[a-z]+|[A-Z][a-z]*|[A-Z]+)?(?:[+/_.=-]+(?:[a-z]+|[A-Z][a-z]*|[A-Z]+)?)*")
+_DIGITS = re.compile(r"[0-9+/_.=-]+")
+_UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
+
+
+def known_clean(text: str, start: int, end: int) -> bool:
+    """Whether a rule knows a candidate as clean: words, numbers and dates, uuids, parts of mail and web addresses."""
+    value = text[start:end]
+    if any(p.fullmatch(value) for p in (_PROSE, _DIGITS, _UUID)):
+        return True
+    near = text[max(0, start - 12) : start]
+    return near.endswith("@") or text[end : end + 1] == "@" or "://" in near or value.startswith(("www.", "//"))
+
+
+_LOWER, _UPPER, _NUMBERS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+# Beginnings of published key formats.
+KEY_BEGINNINGS = ("ghp_", "sk_live_", "xoxb-", "glpat-", "AIza", "SG.", "npm_")
+
+
+def _drawn(draw: np.random.Generator, letters: str, least: int, most: int) -> str:
+    return "".join(np.array(list(letters))[draw.integers(0, len(letters), int(draw.integers(least, most + 1)))])
+
+
+def planted_secret(draw: np.random.Generator) -> str:
+    """A value of a published key format that no pattern finds, by its form or by its length."""
+    mixed = _LOWER + _UPPER + _NUMBERS
+    form = int(draw.integers(5))
+    if form == 0:
+        return KEY_BEGINNINGS[int(draw.integers(len(KEY_BEGINNINGS)))] + _drawn(draw, mixed, 16, 40)
+    if form == 1:
+        return _drawn(draw, mixed, 20, 64)
+    if form == 2:
+        return _drawn(draw, mixed + "+/", 24, 88) + "=" * int(draw.integers(3))
+    if form == 3:
+        return "eyJ" + ".".join(_drawn(draw, mixed + "_-", 16, 40) for _ in range(3))
+    return _drawn(draw, _LOWER + _NUMBERS, 24, 40)
+
+
+def planted_clean(draw: np.random.Generator) -> str:
+    """A long value that is no secret: uuid, date with time, file name, version, path, dashed number, order number."""
+    word = lambda: _drawn(draw, _LOWER, 2, 9)
+    number = lambda n: _drawn(draw, _NUMBERS, n, n)
+    form = int(draw.integers(7))
+    if form == 0:
+        return "-".join(_drawn(draw, "abcdef" + _NUMBERS, n, n) for n in (8, 4, 4, 4, 12))
+    if form == 1:
+        return f"20{number(2)}-0{draw.integers(1, 10)}-1{number(1)}T1{number(1)}.0{number(1)}.0{number(1)}.{number(3)}Z"
+    if form == 2:
+        return f"{word()}_{word()}_20{number(2)}_{number(2)}.tar.gz"
+    if form == 3:
+        return f"{word()}-{word()}-{number(1)}.{number(2)}.{number(1)}-{word()}"
+    if form == 4:
+        return "/".join(word() for _ in range(3)) + f"/{word()}{number(1)}.html"
+    if form == 5:
+        return "-".join(number(4) for _ in range(4))
+    return f"{word().upper()}-20{number(2)}-{number(8)}"
 
 
 def _codes(part: str, width: int, right: bool) -> bytes:
@@ -99,7 +165,7 @@ class Network:
             found[start : start + 256] = np.maximum(total, 0).max(1) @ p["out"] + p["bias"]
         return found
 
-    def train(self, codes: np.ndarray, target: np.ndarray, epochs: int = 12, batch: int = 128, rate: float = 0.01, seed: int = 5) -> None:
+    def train(self, codes: np.ndarray, target: np.ndarray, epochs: int = 16, batch: int = 128, rate: float = 0.01, seed: int = 5) -> None:
         draw = np.random.default_rng(seed)
         weight = np.where(target == 1, 0.5 / max(target.mean(), 1e-6), 0.5 / max(1 - target.mean(), 1e-6)).astype(np.float32)
         first, second = ({k: np.zeros_like(v) for k, v in self.parts.items()} for _ in range(2))
@@ -133,7 +199,11 @@ class Network:
 
 
 def fit(windows: list[bytes], labels: list[int], recall: float = 0.98, least: float = 0.5) -> dict | None:
-    """A trained network with its calibration and threshold; None if either label is missing."""
+    """A trained network with its calibration and threshold; None if either label is missing.
+
+    The threshold finds the share ``recall`` of the secrets kept aside; it is ``least``, or in the middle of what separates them from the
+    highest clean one below, where that is more and the share is still found. ``recall`` and ``false`` of the model are measured aside.
+    """
     codes = np.frombuffer(b"".join(windows), np.uint8).reshape(-1, WIDTH)
     target = np.array(labels, np.float32)
     # Equal windows go to the same side.
@@ -152,25 +222,30 @@ def fit(windows: list[bytes], labels: list[int], recall: float = 0.98, least: fl
     highest = float(own[int(np.floor((1 - recall) * len(own)))])
     below = chance[(truth == 0) & (chance < highest)]
     middle = (highest + (float(below.max()) if len(below) else 0.0)) / 2
-    return {"network": network, "scale": scale, "shift": shift, "threshold": max(least, middle)}
+    threshold = min(highest, max(least, middle))
+    measured = {"recall": float((own >= threshold).mean()), "false": float((chance[truth == 0] >= threshold).mean())}
+    return {"network": network, "scale": scale, "shift": shift, "threshold": threshold, **measured}
 
 
 def _calibrate(score: np.ndarray, truth: np.ndarray) -> tuple[float, float]:
-    """Scale and shift of a logistic in the score, with smoothed targets and a weak pull to the given scores, by Newton steps."""
+    """Scale and shift of a logistic in the score, with smoothed targets and a weak pull to the given scores, by Newton steps of bounded length."""
     n1, n0 = truth.sum(), (1 - truth).sum()
     wanted = np.where(truth == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
     rows, found = np.stack((score, np.ones_like(score)), 1), np.array([1.0, 0.0])
-    for _ in range(25):
+    for _ in range(60):
         chance = 1 / (1 + np.exp(-np.clip(rows @ found, -30, 30)))
         gradient = rows.T @ (chance - wanted) + 0.1 * (found - [1, 0])
-        found = found - np.linalg.solve((rows * (chance * (1 - chance))[:, None]).T @ rows + 0.1 * np.eye(2), gradient)
+        step = np.linalg.solve((rows * (chance * (1 - chance))[:, None]).T @ rows + 0.1 * np.eye(2), gradient)
+        found = found - step * min(1.0, 0.5 / max(np.abs(step).max(), 1e-9))
     return float(max(found[0], 1e-3)), float(found[1])
 
 
 def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", documents: int = 12_000, findings: int = 3000) -> dict | None:
-    """Fit on the findings of about ``documents`` texts drawn by a hash of their id, at most ``findings`` of each label.
+    """Fit on the findings of about ``documents`` texts drawn by a hash of their id.
 
-    Both are bounds of the training sample only. The windows that reach the driver have WIDTH bytes each.
+    Of each of four kinds (known clean, found by patterns, planted clean, planted secret) at most half of ``findings`` are drawn by a hash of their
+    window; a text gives one planted window of each label. Both are bounds of the training sample only. The windows that reach the
+    driver have WIDTH bytes each. A finding longer than a window is learned by its first and last.
     """
     rows = docs.select(docs[id_column].cast("string").alias("doc_id"), docs[text_column].cast("string").alias("text"))
     share = documents / max(rows.select("doc_id").count(), 1)
@@ -180,31 +255,38 @@ def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
         marked = []
         for text in texts:
             base = base_spans(text)
-            for start, kind, end in base:
-                inner = ASSIGN.match(text, start).start(2) if kind == 0 else start
-                marked.append((1, window(text, inner, end)))
-            marked += [(0, window(text, *span)) for span in candidates(text, base)]
+            spans = [(1, ASSIGN.match(text, a).start(2) if kind == 0 else a, b) for a, kind, b in base]
+            spans += [(0, a, b) for a, b in candidates(text, base) if known_clean(text, a, b)]
+            marked += [(kind, w) for kind, a, b in spans for w in dict.fromkeys(windows(text, a, b)[:: max(1, len(windows(text, a, b)) - 1)])]
+            draw = np.random.default_rng(zlib.crc32(text.encode("utf-8", "surrogatepass")))
+            spaces = [m.start() for m in re.finditer(" ", text[: 1 << 16])]
+            for kind, value in ((2, planted_clean(draw)), (3, planted_secret(draw))) if spaces else ():
+                at = spaces[int(draw.integers(len(spaces)))]
+                before, after = text[max(0, at - BEFORE) : at + 1], text[at : at + AFTER]
+                shown = windows(before + value + after, len(before), len(before) + len(value))
+                marked += [(kind, shown[int(draw.integers(len(shown)))])]
         return [[y for y, _ in marked], [w for _, w in marked]]
 
     found = map_texts(sample, ["text"], label, "label int, window binary")
-    order = [F.xxhash64("window"), F.col("window")]
-    drawn = [found.where(F.col("label") == y).orderBy(*order).limit(findings).collect() for y in (0, 1)]
-    both = [(bytes(r["window"]), r["label"]) for part in drawn for r in part]
-    return fit([w for w, _ in both], [y for _, y in both]) if all(drawn) else None
+    drawn = stratified(found, "label", findings // 2, "window", salt="secrets").orderBy("label", "window").collect()
+    return fit([bytes(r["window"]) for r in drawn], [r["label"] % 2 for r in drawn]) if drawn else None
 
 
 def find(texts: list, model: dict | None) -> list[list[tuple[int, int, int]]]:
-    """All spans (start, kind number, end) of each text, in order: the base ones, and candidates the network accepts."""
+    """All spans (start, kind number, end) of each text, in order: the base ones, and candidates the network accepts.
+
+    What a rule knows as clean is not among them, as a network that must find nearly all secrets accepts some of it.
+    """
     spans = [base_spans(t or "") for t in texts]
     if model is None:
         return spans
-    asked = [(i, a, b) for i, t in enumerate(texts) if t for a, b in candidates(t, spans[i])]
+    asked = [(i, a, b, w) for i, t in enumerate(texts) if t for a, b in candidates(t, spans[i]) for w in windows(t, a, b)]
     if asked:
-        codes = np.frombuffer(b"".join([window(texts[i], a, b) for i, a, b in asked]), np.uint8).reshape(-1, WIDTH)
+        codes = np.frombuffer(b"".join([w for *_, w in asked]), np.uint8).reshape(-1, WIDTH)
         chance = 1 / (1 + np.exp(-(model["scale"] * model["network"].logits(codes).astype(float) + model["shift"])))
-        for (i, a, b), c in zip(asked, chance):
-            if c >= model["threshold"]:
-                spans[i].append((a, 3, b))
+        accepted = {own[:3] for own, c in zip(asked, chance) if c >= model["threshold"] and not known_clean(texts[own[0]], *own[1:3])}
+        for i, a, b in accepted:
+            spans[i].append((a, 3, b))
     return [sorted(s) for s in spans]
 
 
