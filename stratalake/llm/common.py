@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -120,12 +121,17 @@ def _powers(n: int) -> np.ndarray:
     return _POWERS[:n]
 
 
+# Bytes of a word above which its hash is not a polynomial.
+LONG_WORD = 256
+
+
 def word_hashes(texts: list, lower: bool) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words of all texts, and per text where its words start (one more entry at the end).
 
     Words are runs of anything but the six separators. Each is hashed as a polynomial of its bytes; prefix sums
     give the polynomial of every word at once, and multiplying by the power of its distance to the end of the
-    buffer makes equal words equal wherever they stand.
+    buffer makes equal words equal wherever they stand. Words of over ``LONG_WORD`` bytes are hashed by BLAKE2b instead: such polynomials
+    modulo 2^64 have known collisions from 1,024 bytes on, whatever the base.
     """
     parts = [t.encode("utf-8", "surrogatepass") if t else b"" for t in texts]
     raw = np.frombuffer(b" ".join(parts) + b" ", np.uint8)
@@ -144,7 +150,10 @@ def word_hashes(texts: list, lower: bool) -> tuple[np.ndarray, np.ndarray]:
     power = _powers(len(raw))
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[raw] * power, dtype=np.uint64)))
     value = (sums[ends] - sums[starts]) * power[len(raw) - 1 - starts]
-    return mixed(value * _inverse(len(raw) - 1)), at
+    found = mixed(value * _inverse(len(raw) - 1))
+    for i in np.flatnonzero(ends - starts > LONG_WORD):
+        found[i] = int.from_bytes(hashlib.blake2b(raw[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
+    return found, at
 
 
 def _inverse(n: int) -> np.uint64:

@@ -63,19 +63,17 @@ def _measured(ids: list, hosts: list, texts: list) -> list:
     return [ids, hosts, [_hash(t) for t in texts], *result]
 
 
-
-
-
 def quality_rules(
     docs: DataFrame, id_column: str = "doc_id", host_column: str = "source", text_column: str = "text", min_words: int = 50,
-    max_repeat_percent: int = 50, line_docs: int = 25, line_percent: float = 2.0, left_percent: int = 30,
+    max_repeat_percent: int = 50, line_docs: int = 25, left_percent: int = 30,
 ) -> DataFrame:
     """Per row: id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, removed_words.
 
-    A line is over the limit if more than ``line_docs`` distinct documents of a host, and more than ``line_percent`` of that host's, hold it
-    (normalised). Documents with equal text count once, as their copies are for deduplication to judge. Lines over the limit
-    are removed; a document that keeps less than ``left_percent`` of its words is depleted. kept is false for depleted documents and for
-    base failures: fewer than ``min_words`` words, or more than ``max_repeat_percent`` of the words in repeated windows.
+    A line is over the limit if more than ``line_docs`` distinct documents of a host, and more than the square root of that host's documents, hold it
+    (normalised): the limit grows with a host, its share of the host falls. Documents with equal text count once, as their copies are for
+    deduplication to judge. Lines over the limit are removed; a document is depleted if less than ``left_percent`` of its words or, where
+    lines were removed, fewer than ``min_words`` words are left. kept is false for depleted documents and for base failures: fewer than ``min_words`` words, or
+    more than ``max_repeat_percent`` of the words in repeated windows.
 
     A null text is one without words, and fails. A null host is a host. Repeated rows are judged each; null ids stay.
     Other columns are not read. Lines are hashed to 64 bits and counted by (host, line) with partial sums, after distinct (host, line, text):
@@ -91,11 +89,12 @@ def quality_rules(
     lines = rows.select("row", "host", "content", F.explode(F.arrays_zip("lines", "line_words")).alias("l")).select("row", "host", "content", F.col("l.lines").alias("line"), F.col("l.line_words").alias("words"))
     hosts = rows.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("host_docs"))
     often = lines.select("host", "line", "content").distinct().groupBy("host", "line").agg(F.count("*").alias("docs")).where(F.col("docs") > line_docs)
-    often = often.join(hosts, "host").where(F.col("docs") * 100 > F.col("host_docs") * line_percent).select("host", "line")
+    often = often.join(hosts, "host").where(F.col("docs") * F.col("docs") > F.col("host_docs")).select("host", "line")
     removed = lines.join(often, ["host", "line"]).groupBy("row").agg(F.sum("words").alias("removed"))
     judged = rows.join(removed, "row", "left").withColumn("removed_words", F.coalesce("removed", F.lit(0)))
     failed = (F.col("n_words") < min_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * max_repeat_percent)
-    depleted = (F.col("n_words") - F.col("removed_words")) * 100 < F.col("n_words") * left_percent
+    left = F.col("n_words") - F.col("removed_words")
+    depleted = (left * 100 < F.col("n_words") * left_percent) | (left < min_words)
     return judged.select(
         F.col("doc_id").alias(id_column), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"), (~failed & ~depleted).alias("kept"), "removed_words",

@@ -160,7 +160,7 @@ WITH d AS (
   SELECT l.host, l.norm
   FROM (SELECT host, norm, count(DISTINCT t) AS docs FROM lines GROUP BY host, norm) l
   JOIN hosts h ON l.host IS NOT DISTINCT FROM h.host
-  WHERE l.docs > 25 AND 100 * l.docs > 2 * h.docs
+  WHERE l.docs > 25 AND l.docs * l.docs > h.docs
 ), by_lines AS (
   SELECT l.r, count(*) - count(DISTINCT l.line) AS dup, sum(CASE WHEN o.norm IS NULL THEN 0 ELSE l.n END) AS removed
   FROM lines l LEFT JOIN often o ON l.host IS NOT DISTINCT FROM o.host AND l.norm = o.norm
@@ -175,7 +175,7 @@ WITH d AS (
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-  n_words >= 50 AND 100 * n_repeat_words <= 50 * n_words AND (n_words - removed_words) * 100 >= n_words * 30 AS kept, removed_words
+  n_words >= 50 AND 100 * n_repeat_words <= 50 * n_words AND (n_words - removed_words) * 100 >= n_words * 30 AND n_words - removed_words >= 50 AS kept, removed_words
 FROM measured
 """
 

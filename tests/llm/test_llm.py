@@ -349,6 +349,36 @@ def test_secret_network_learns():
     assert secret_scan.fit(windows[:300], [1] * 300) is None
 
 
+def test_secrets_without_telling_words(spark):
+    """Recall and false findings on values that no pattern finds, at places of texts the network did not learn from."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = secret_scan.train(docs.where("doc_id % 5 > 0"))
+    assert model["recall"] >= 0.9 and model["false"] < 0.02
+    texts = [t for t in texts_of(docs.where("doc_id % 5 = 0")) if t and " " in t]
+    draw = np.random.default_rng(99)
+    shares = []
+    for make in (secret_scan.planted_secret, secret_scan.planted_clean):
+        hit = asked = 0
+        for t in texts:
+            at, value = t.index(" ", len(t) // 3) + 1 if " " in t[len(t) // 3 :] else 0, make(draw)
+            found = secret_scan.find([f"{t[:at]}{value} {t[at:]}"], model)[0]
+            if not any(k < 3 and a < at + len(value) and b > at for a, k, b in found):
+                asked += 1
+                hit += any(k == 3 and a < at + len(value) and b > at for a, k, b in found)
+        shares.append(hit / asked)
+    clean = secret_scan.find([re.sub("[0-9a-fA-F]{16,}", "", t) for t in texts], model)
+    false = sum(k == 3 for own in clean for _, k, _ in own) / len(texts)
+    assert shares[0] >= 0.9 and shares[1] < 0.02 and false < 0.01, (shares, false)
+
+
+def test_long_candidates_are_seen_whole():
+    assert len(secret_scan.windows("a" * 40, 0, 40)) == 1
+    text = "w " + "x" * 1000 + " v"
+    shown = secret_scan.windows(text, 2, 1002)
+    assert len(shown) == 49 and shown[-1][: secret_scan.BEFORE] != shown[0][: secret_scan.BEFORE]
+    assert shown[-1][secret_scan.BEFORE + secret_scan.INSIDE :] == secret_scan.window(text, 962, 1002)[-secret_scan.AFTER :]
+
+
 def test_weak_quality(spark, odd, empty):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     model = weak_quality.train(docs)
@@ -375,7 +405,7 @@ def test_expectation_maximisation_weighs_labellers():
 
 def test_quality_rules_equal_brute_force(odd, empty):
     rows = {}
-    for r in quality_rules.quality_rules(odd, line_docs=1, line_percent=0).collect():
+    for r in quality_rules.quality_rules(odd, line_docs=1).collect():
         rows.setdefault(r["doc_id"], r)
     for doc_id, text in {r["doc_id"]: r["text"] or "" for r in odd.where("doc_id is not null").collect()}.items():
         words, lines = WORD.findall(text), [x for x in text.split("\n") if WORD.search(x)]
@@ -393,9 +423,26 @@ def test_common_lines_deplete(spark):
     filler = lambda i: " ".join(f"d{chr(97 + i // 26)}{chr(97 + i % 26)}w{k}" for k in range(30))
     boiler = " ".join(f"b{k}" for k in range(100))
     docs = [(i, f"{boiler}\n{filler(i)}", "h") for i in range(40)] + [(100, boiler, "other"), (101, f"{filler(101)} {filler(102)}", "h")]
+    # 60 % of the words are left, which is enough by share; 45 words are not.
+    docs += [(200 + i, f"{' '.join(boiler.split()[:30])}\n{' '.join(f'{w}{i}' for w in filler(i).split())} {' '.join(f'x{i}y{k}' for k in range(n))}", "k") for n in (15, 40) for i in range(n, n + 15)]
     rows = {r["doc_id"]: r for r in quality_rules.quality_rules(spark.createDataFrame(docs, "doc_id long, text string, source string")).collect()}
     assert all(rows[i]["removed_words"] == 100 and not rows[i]["kept"] for i in range(40))
     assert rows[100]["kept"] and rows[101]["kept"]
+    short, long = ([rows[200 + i] for i in range(n, n + 15)] for n in (15, 40))
+    assert all(r["removed_words"] == 30 and not r["base_failed"] and not r["kept"] for r in short)
+    assert all(r["removed_words"] == 30 and r["kept"] for r in long)
+
+
+def test_word_hashes_of_long_words_differ():
+    """Thue-Morse words, which collide under every polynomial modulo 2^64."""
+    from stratalake.llm.common import word_hashes
+
+    word = "a"
+    for _ in range(10):
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    found, at = word_hashes([f"{word} {other}", f"x {word}", word.upper()], lower=True)
+    assert found[0] != found[1] and found[0] == found[3] == found[4] and list(at) == [0, 2, 4, 5]
 
 
 @pytest.mark.parametrize("name", queries.ORACLE)
