@@ -49,17 +49,20 @@ def cut_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them; one that it takes in part is cut to the first words taken."""
+    """Documents as often as the schedule's pieces hold them; one that it holds in part is cut to the first words.
+
+    Every file is in the order of the schedule: a task holds documents of all places, sorted by the position of their first piece. A
+    sort over all files would shuffle the texts once more.
+    """
     rows = _numbered(spark, docs)
-    mixed = mixing.mix(rows, id_column="row").documents.where("taken > 0").select(F.col("row").alias("taken_row"), "size", "taken")
-    times = F.sequence(F.lit(0).cast("long"), F.floor((F.col("taken") - 1) / F.col("size")))
-    mixed = mixed.select("taken_row", "size", "taken", F.explode(times).alias("pass_no"))
-    mixed = mixed.withColumn("words", F.least(F.col("size"), F.col("taken") - F.col("pass_no") * F.col("size")))
+    pieces = mixing.mix(rows, id_column="row").pieces
+    mixed = pieces.groupBy(F.col("id").alias("taken_row"), "pass_no").agg(F.sum("length").alias("words"), F.min("position").alias("position"))
     both = rows.join(mixed, rows["row"] == mixed["taken_row"])
     words = F.regexp_extract_all(F.col("text"), F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
     part = F.array_join(F.slice(words, F.lit(1), F.col("words").cast("int")), "")
-    text = F.when(F.col("words") == F.col("size"), F.col("text")).otherwise(part)
-    return both.withColumn("text", text).withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
+    text = F.when(F.col("words") == mixing.word_count(F.col("text")), F.col("text")).otherwise(part)
+    made = both.withColumn("text", text).withColumn("n_chars", F.char_length("text").cast("long"))
+    return made.sortWithinPartitions("position", "taken_row", "pass_no").select(*COLUMNS)
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -313,6 +313,32 @@ def test_mix_comes_through_its_schedule(spark, monkeypatch):
     assert emptied.agg({"taken": "sum"}).first()[0] == 0 < found.documents.agg({"taken": "sum"}).first()[0]
 
 
+def test_the_mixed_corpus_follows_the_schedule(spark, monkeypatch):
+    """Files of the pipeline's mix are in the order of the schedule, and hold nothing without slots."""
+    docs = spark.read.parquet(SMALL + "/documents.parquet").coalesce(1)
+    made, shown = mixing.mix, []
+
+    def watched(rows, **options):
+        shown.append(made(rows, **options))
+        return shown[-1]
+
+    monkeypatch.setattr(mixing, "mix", watched)
+    mixed = corpus_pipeline.mix_sources(spark, docs, SMALL).selectExpr("*", "spark_partition_id() AS file").collect()
+    assert len(mixed) == shown[0].pieces.select("id", "pass_no").distinct().count()
+    numbers = {r["doc_id"]: i for i, r in enumerate(docs.select("doc_id").collect())}
+    first = {}
+    for r in shown[0].pieces.collect():
+        first.setdefault(r["id"], {}).setdefault(r["pass_no"], []).append(r["position"])
+    left = {i: sorted(min(p) for p in own.values()) for i, own in first.items()}
+    by_file = {}
+    for r in mixed:
+        by_file.setdefault(r["file"], []).append(left[numbers[r["doc_id"]]].pop(0))
+    assert all(own == sorted(own) for own in by_file.values()) and max(map(len, by_file.values())) > 20
+    planned = mixing.full_schedule
+    monkeypatch.setattr(mixing, "full_schedule", lambda *a: planned(*a).limit(0))
+    assert corpus_pipeline.mix_sources(spark, docs, SMALL).count() == 0
+
+
 def test_schedule_is_spread(spark):
     sources = spark.createDataFrame([(1, 6000), (2, 3000), (3, 1000)], "source_no int, quota long")
     rows = sorted((r["slot"], r["source_no"], r["block"]) for r in mixing.schedule(sources, 1000).collect())
