@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings as limits, strategies as st
 from pyspark.sql import functions as F
 
 from stratalake.operators.clean import clean, clean_stored
-from stratalake.operators.distinct import distinct_rows
+from stratalake.operators.distinct import distinct_in_tasks, distinct_rows
 from stratalake.plans import literacy_tables as tables
 from stratalake.plans import standin
 from stratalake.sources import read_parquet, write_parquet
@@ -67,3 +67,58 @@ def test_unique_rows_are_not_shuffled(spark, tmp_path):
     assert "LeftAnti, BuildRight" in plan and len(re.findall(r"Exchange hashpartitioning", plan)) == 1
     assert plan.index("LeftAnti, BuildRight") < plan.index("Exchange hashpartitioning")
 
+
+
+@limits(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(
+    st.sampled_from([None, 1, 2, 3]), st.sampled_from([None, "", "u"]), st.sampled_from([None, "", "u"]),
+    st.sampled_from([None, 0.0, -0.0, 1.5, float("nan")]),
+), max_size=25), st.sampled_from([1, 4, 1000]), st.sampled_from([0, 2, 1000]))
+def test_tasks_equal_drop_duplicates(spark, values, rows_per_task, hot_rows):
+    df = spark.createDataFrame(values, SCHEMA)
+    made = distinct_in_tasks(df, rows_per_task, hot_rows)
+    show = [F.col("k"), F.col("a"), F.col("b"), (F.col("x") + 0.0).cast("string")]
+    assert made.schema == df.schema
+    assert rows(made.select(*show)) == rows(df.dropDuplicates().select(*show))
+
+
+def student_rows(spark, n):
+    """Microdata with ``n`` students, each delivered twice."""
+    schema = tables.TS_ALUNO.schema
+    twice = spark.range(2 * n).select((F.col("id") % n).alias("ID_ALUNO"))
+    return twice.select(*[
+        F.col("ID_ALUNO").cast(f.dataType).alias(f.name) if f.name in ("ID_ALUNO", "CO_MUNICIPIO") else F.lit("1").cast(f.dataType).alias(f.name)
+        for f in schema.fields
+    ])
+
+
+def test_cleaning_gathers_no_wide_rows_before_the_shuffle(spark):
+    """The distinct rows of a whole part of a scan would be in the memory of its task."""
+    made = clean(student_rows(spark, 500), tables.TS_ALUNO)
+    plan = plan_of(made)
+    assert plan.count("Exchange") == 1 and "Aggregate" not in plan[plan.index("Exchange"):]
+    assert made.count() == 500
+
+
+def test_tasks_follow_the_rows(spark):
+    df = student_rows(spark, 500)
+    for per_task, tasks in ((400, 3), (100, 10), (10, 100)):
+        made = distinct_in_tasks(df, per_task)
+        assert re.search(rf"Exchange hashpartitioning\(_dealt#\d+L, {tasks}\)", plan_of(made))
+        assert made.rdd.getNumPartitions() == tasks and made.count() == 500
+
+
+def test_a_row_with_very_many_copies_is_combined_before_the_shuffle(spark):
+    few = student_rows(spark, 5000)
+    many = spark.range(30_000).crossJoin(student_rows(spark, 1).limit(1).withColumn("CO_UF", F.lit(2))).select(*few.columns)
+    made = distinct_in_tasks(few.unionByName(many), 2000)
+    even, hot = plan_of(made).split("Exchange hashpartitioning(")[1:]
+    assert even.startswith("_dealt") and "HashAggregate" in hot
+    assert made.count() == 5001
+    biggest = made.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).max()
+    assert biggest < 2000
+
+
+def test_columns_may_have_the_name_of_the_dealing_column(spark):
+    df = spark.createDataFrame([(1, 2), (1, 2), (1, 3)], "_Dealt int, _dealt_ int")
+    assert rows(distinct_in_tasks(df)) == [(1, 2), (1, 3)]
