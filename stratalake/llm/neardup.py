@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import map_texts, mixed, window_hashes, word_hashes
+from stratalake.llm.common import map_texts, mixed, shuffle_join, window_hashes, word_hashes
 from stratalake.session import work_folder
 
 SHINGLE = 4
@@ -86,8 +86,8 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     rows with the smallest id of a component are all kept. A null id is never a component's id unless all are null, and is not kept.
     No rows give no rows; other columns are not read.
 
-    Texts are read once for the features, and those of candidate classes once more. All steps are joins and partial aggregations
-    whose tables go to the work folder; nothing is collected but row counts.
+    Texts are read once for the features, and those of candidate classes once more. All steps are shuffled joins and partial aggregations
+    whose tables go to the work folder; nothing is broadcast but a measured table of components, nothing collected but row counts.
     """
     if similarity < 80:
         raise ValueError("the signature's distance covers similarities of 80 % and more")
@@ -110,21 +110,21 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     keys = _map_rows(classes, ["node", "n", "symbols"], spread, "key long, node long, n long")
     common = keys.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
-    members = stored(keys.join(common, "key"), "members")
+    members = stored(shuffle_join(keys, common, "key"), "members")
 
     def sets_of(nodes: DataFrame, name: str) -> DataFrame:
         """node and its shingles, from the texts of the classes' first documents."""
-        wanted = nodes.join(classes, "node").select("node", "digest", "first")
-        own = texts.join(wanted.select("first").distinct(), texts["doc_id"].eqNullSafe(F.col("first")), "left_semi")
+        wanted = shuffle_join(nodes, classes, "node").select("node", "digest", "first")
+        own = shuffle_join(texts, wanted.select("first").distinct(), texts["doc_id"].eqNullSafe(F.col("first")), "left_semi")
         sets = map_texts(own, ["text"], _sets, "digest binary, shingles array<long>").dropDuplicates(["digest"])
-        return stored(sets.join(wanted.select("node", "digest"), "digest").select("node", "shingles"), name)
+        return stored(shuffle_join(sets, wanted.select("node", "digest"), "digest").select("node", "shingles"), name)
 
     def prefix_pairs(nodes: DataFrame) -> DataFrame:
         """Pairs across components that share one of their rarest shingles; nodes: node, n, root."""
-        tokens = nodes.join(sets_of(nodes.select("node"), "prefix_sets"), "node").select("node", "n", "root", F.explode("shingles").alias("token"))
+        tokens = shuffle_join(nodes, sets_of(nodes.select("node"), "prefix_sets"), "node").select("node", "n", "root", F.explode("shingles").alias("token"))
         rarity = tokens.groupBy("token").agg(F.count("*").alias("texts"))
         place = F.row_number().over(Window.partitionBy("node").orderBy("texts", "token"))
-        prefix = tokens.join(rarity, "token").withColumn("place", place)
+        prefix = shuffle_join(tokens, rarity, "token").withColumn("place", place)
         prefix = prefix.where((F.col("place") <= F.col("n") - F.ceil(F.col("n") * similarity / 100) + 1) & (F.col("texts") > 1))
         # At the first shared token, only what comes after it can be shared too; a pair that this leaves too little is no link.
         after = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
@@ -134,39 +134,40 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         left = rows.select(by, F.col("node").alias("a"), *(F.col(c).alias(f"{c}_a") for c in rows.columns if c not in (by, "node")))
         right = rows.select(by, F.col("node").alias("b"), *(F.col(c).alias(f"{c}_b") for c in rows.columns if c not in (by, "node")))
         similar = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * similarity
-        return left.join(right, by).where((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & similar & also).select("a", "b")
+        return shuffle_join(left, right, by).where((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & similar & also).select("a", "b")
 
     def confirmed(pairs: DataFrame, name: str) -> DataFrame:
         """The pairs (a < b) that really link: by size, then signature distance, then full sets."""
         side = lambda k: classes.select(F.col("node").alias(k), F.col("n").alias(f"n_{k}"), F.col("symbols").alias(f"s_{k}"))
         differ = F.aggregate(F.zip_with("s_a", "s_b", lambda x, y: (x != y).cast("int")), F.lit(0), lambda t, x: t + x)
-        near = pairs.join(side("a"), "a").join(side("b"), "b").where((F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * similarity) & (differ <= DISTANCE))
+        near = shuffle_join(shuffle_join(pairs, side("a"), "a"), side("b"), "b").where((F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * similarity) & (differ <= DISTANCE))
         near = stored(near.select("a", "b", "n_a", "n_b"), f"{name}_near")
         sets = sets_of(near.select(F.explode(F.array("a", "b")).alias("node")).distinct(), f"{name}_sets")
         left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
         right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-        both = near.join(left, "a").join(right, "b").withColumn("shared", F.size(F.array_intersect("x", "y")))
+        both = shuffle_join(shuffle_join(near, left, "a"), right, "b").withColumn("shared", F.size(F.array_intersect("x", "y")))
         return stored(both.where(F.col("shared") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("shared")) * similarity).select("a", "b"), name)
 
     company = members.groupBy("node").agg(F.sum("members").alias("company"))
-    hubs = members.join(company, "node").groupBy("key").agg(F.max_by("node", F.struct("company", "node")).alias("hub"))
-    tried = members.join(hubs, "key").where("node <> hub").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b"))
+    hubs = shuffle_join(members, company, "node").groupBy("key").agg(F.max_by("node", F.struct("company", "node")).alias("hub"))
+    tried = shuffle_join(members, hubs, "key").where("node <> hub").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b"))
     tried = stored(tried.distinct(), "tried")
     links = confirmed(tried, "hub_links")
     roots = components(links, f"{folder}/hub_roots")
-    placed = stored(members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "placed")
+    placed = stored(shuffle_join(members, roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "placed")
     mixed_keys = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-    mixed_rows = stored(placed.join(mixed_keys, "key"), "mixed")
+    mixed_rows = stored(shuffle_join(placed, mixed_keys, "key"), "mixed")
     direct = crossing(mixed_rows.where(F.col("members") <= SMALL).select("key", "node", "n", "root"), "key")
     rest = stored(prefix_pairs(mixed_rows.where(F.col("members") > SMALL).select("node", "n", "root").distinct()), "prefix_pairs")
-    fresh = stored(direct.unionByName(rest).distinct().join(tried, ["a", "b"], "left_anti"), "fresh")
+    fresh = stored(shuffle_join(direct.unionByName(rest).distinct(), tried, ["a", "b"], "left_anti"), "fresh")
     links = links.unionByName(confirmed(fresh, "crossing_links"))
     roots = components(links, f"{folder}/roots")
-    linked = roots.join(classes.select("node", "first", "digest"), "node")
+    linked = shuffle_join(roots, classes.select("node", "first", "digest"), "node")
     smallest = linked.groupBy("root").agg(F.min("first").alias("linked_id"))
+    # A large component is one root; this table is expected to be large, so it is broadcast only if it is measured as small.
     linked = linked.join(smallest, "root").select("node", "linked_id")
-    named = classes.join(linked, "node", "left").select("digest", F.when(F.col("linked_id").isNotNull(), F.col("linked_id")).otherwise(F.col("first")).alias("class_id"))
-    result = rows.select("doc_id", "n", "digest").join(named, "digest", "left")
+    named = shuffle_join(classes, linked, "node", "left").select("digest", F.when(F.col("linked_id").isNotNull(), F.col("linked_id")).otherwise(F.col("first")).alias("class_id"))
+    result = shuffle_join(rows.select("doc_id", "n", "digest"), named, "digest", "left")
     component = F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("doc_id"))
     return result.select(
         F.col("doc_id").alias(id_column), F.col("n").alias("n_shingles"), component.alias("component_id"),
@@ -195,9 +196,9 @@ def components(links: DataFrame, folder: str) -> DataFrame:
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = shuffle_join(both.where("b > a"), least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         lowest = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(lowest, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        small = shuffle_join(large, lowest, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         small.unionByName(lowest.withColumnRenamed("m", "b")).distinct().write.parquet(f"{folder}/{step}")
         edges = spark.read.schema("a long, b long").parquet(f"{folder}/{step}")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % (1 << 31))).first()

@@ -12,11 +12,13 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql.readwriter import DataFrameWriter
 from tokenizers import Tokenizer
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
 import corpus_pipeline
+from conftest import plan_of
 from stratalake.llm import langid, mixing, neardup, packing, quality_rules, queries, secret_scan, topk, toxicity, weak_quality, word_tokens
 
 SMALL = "/root/testdata/sf0.001"
@@ -251,6 +253,28 @@ def test_near_duplicates_equal_brute_force(spark, odd, empty):
     assert neardup.near_duplicates(odd).count() == odd.count() and neardup.near_duplicates(empty).count() == 0
 
 
+@pytest.fixture
+def written_plans(monkeypatch):
+    """The plans of all Parquet tables that are written, as they are before a shuffle is measured."""
+    plans, write = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *args, **named: (plans.append(plan_of(self._df)), write(self, *args, **named))[1])
+    return plans
+
+
+def test_near_duplicates_broadcast_nothing(spark, settings, written_plans):
+    """The files of few classes are under the limit; the keys of a class, its signature beside a pair and its shingles are far larger."""
+    settings(spark__sql__autoBroadcastJoinThreshold="1m")
+    draw = np.random.default_rng(6)
+    rows, passage = [], " ".join(f"p{i}" for i in range(20))
+    for group in range(100):
+        base = [f"g{group}w{draw.integers(500)}" for _ in range(60)]
+        rows += [(2 * group, " ".join([passage, *base])), (2 * group + 1, " ".join([passage, *base[:-1], "other"]))]
+    found = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    written_plans.append(plan_of(found))
+    assert {(r["doc_id"], r["component_id"]) for r in found.collect()} == {(i, i - i % 2) for i in range(200)}
+    assert len(written_plans) > 15 and not [plan for plan in written_plans if "Broadcast" in plan]
+
+
 def test_chunk_keys_cover_the_distance():
     """Signatures that differ in DISTANCE symbols, wherever they are, share a key."""
     draw = np.random.default_rng(2)
