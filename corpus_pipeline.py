@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.llm import mixing, neardup, packing, secret_scan, toxicity
-from stratalake.llm.common import WORD
+from stratalake.llm.common import WORD, shuffle_join
 from stratalake.session import work_folder
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -37,7 +37,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     rows = _numbered(spark, docs)
     found = neardup.near_duplicates(rows.select("row", "text"), id_column="row")
     kept = found.where("kept").select("row")
-    return rows.join(kept, "row", "left_semi").select(*COLUMNS)
+    return shuffle_join(rows, kept, "row", "left_semi").select(*COLUMNS)
 
 
 def cut_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +57,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = _numbered(spark, docs)
     pieces = mixing.mix(rows, id_column="row").pieces
     mixed = pieces.groupBy(F.col("id").alias("taken_row"), "pass_no").agg(F.sum("length").alias("words"), F.min("position").alias("position"))
-    both = rows.join(mixed, rows["row"] == mixed["taken_row"])
+    both = shuffle_join(rows, mixed, rows["row"] == mixed["taken_row"])
     words = F.regexp_extract_all(F.col("text"), F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
     part = F.array_join(F.slice(words, F.lit(1), F.col("words").cast("int")), "")
     text = F.when(F.col("words") == mixing.word_count(F.col("text")), F.col("text")).otherwise(part)

@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import WORD
+from stratalake.llm.common import WORD, shuffle_join
 from stratalake.session import work_folder
 
 # The golden ratio's fraction gives the points; ranks and cells are counted in parts of these sizes.
@@ -137,7 +137,7 @@ def mix(docs: DataFrame, weights: tuple = (5, 2, 1), share: float = 1.5, cap: fl
         "mix_row", "id", "source_no", "block", "pass_no", (F.greatest("low", F.col("block") * block_words) - F.col("low")).alias("from_word"),
         (F.least("high", (F.col("block") + 1) * block_words) - F.greatest("low", F.col("block") * block_words)).alias("length"),
     )
-    pieces = cut.join(planned, ["source_no", "block"]).select(F.col("slot").alias("position"), "source_no", "mix_row", "id", "pass_no", "from_word", "length")
+    pieces = shuffle_join(cut, planned, ["source_no", "block"]).select(F.col("slot").alias("position"), "source_no", "mix_row", "id", "pass_no", "from_word", "length")
     pieces.write.parquet(folder + "/pieces")
     pieces = spark.read.schema(pieces.schema).parquet(folder + "/pieces")
     taken = pieces.groupBy("mix_row").agg(F.sum("length").alias("taken"), F.min("position").alias("first_position"))

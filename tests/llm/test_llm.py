@@ -320,6 +320,14 @@ def test_mixing(spark, odd, empty):
     assert mixing.mix(empty).documents.count() == 0
 
 
+def test_mixing_broadcasts_no_pieces_by_expected_size(spark, written_plans):
+    """Slots and taken documents, with a row per block or text, are shuffled though their files are small."""
+    docs = spark.read.parquet(SMALL + "/documents.parquet")
+    made = corpus_pipeline.mix_sources(spark, docs, SMALL)
+    assert any(re.search(r"SortMergeJoin \[source_no#\d+, block#\d+L\]", plan) for plan in written_plans)
+    assert re.search(r"SortMergeJoin \[row#\d+L\], \[taken_row#\d+L\]", plan_of(made))
+
+
 def test_mix_comes_through_its_schedule(spark, monkeypatch):
     """Every taken word has a slot of its source, blocks fill whole slots, and without slots nothing is taken."""
     docs = spark.read.parquet(SMALL + "/documents.parquet")
