@@ -36,8 +36,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """One document of each near-duplicate component; of rows with its smallest id, the first."""
     rows = _numbered(spark, docs)
     found = neardup.near_duplicates(rows.select("row", "text"), id_column="row")
+    # Before it is measured, this is expected to be large, so that it is broadcast only if it is measured as small.
     kept = found.where("kept").select("row")
-    return shuffle_join(rows, kept, "row", "left_semi").select(*COLUMNS)
+    return rows.join(kept, "row", "left_semi").select(*COLUMNS)
 
 
 def cut_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

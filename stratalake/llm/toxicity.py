@@ -64,14 +64,17 @@ def fit(samples: Iterable[tuple[list[str], int]], stands_for: tuple[float, float
     if not known.any() or len(set(labels)) < 2:
         return {"weights": {}, "bias": -12.0}
     words = sorted(w for w, i in index.items() if known[i])
-    place = np.zeros(len(known), np.int64)
+    place = np.zeros(len(known), np.int32)
     place[[index[w] for w in words]] = np.arange(len(words))
-    all_ids = np.frombuffer(flat, np.int32)
-    all_instances = np.repeat(np.arange(len(ends)), np.diff(np.frombuffer(ends, np.int64), prepend=0))
-    flat_ids, instances = place[all_ids[known[all_ids]]], all_instances[known[all_ids]]
-    # Sentences without a known term are clean and drop out.
-    used, instance = np.unique(instances, return_inverse=True)
-    owner_ids, count = np.frombuffer(owner, np.int32)[used], len(used)
+    flat_ids = np.frombuffer(flat, np.int32)
+    is_known = known[flat_ids]
+    flat_ids = place[flat_ids[is_known]]
+    instance = np.repeat(np.arange(len(ends), dtype=np.int32), np.diff(np.frombuffer(ends, np.int64), prepend=0))[is_known]
+    # Sentences without a known term are clean and drop out; the others, in order already, are numbered anew.
+    starts = np.diff(instance, prepend=-1) > 0
+    owner_ids = np.frombuffer(owner, np.int32)[instance[starts]]
+    instance, count = np.cumsum(starts, dtype=np.int32) - np.int32(1), len(owner_ids)
+    del flat, is_known, starts
     amounts = [labels.count(y) * (stands_for[y] if stands_for else 1.0) for y in (0, 1)]
     prior = min(max(amounts[1] / sum(amounts), 0.02), 0.98)
     target = np.array(labels, float)

@@ -5,6 +5,7 @@ import os
 import re
 import sys
 import time
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -172,6 +173,17 @@ def test_toxicity_finds_the_sentence():
     assert toxicity.rated("Fine words here. More of it.", model)[0] < 0.3
 
 
+def test_toxicity_fit_is_bounded_in_memory():
+    """Fitting holds less than 48 bytes for each term of each sentence."""
+    draw = np.random.default_rng(4)
+    samples = [([" ".join(f"t{i}" for i in draw.integers(0, 400, 50)) for _ in range(20)], n % 2) for n in range(300)]
+    tracemalloc.start()
+    model = toxicity.fit(iter(samples), epochs=2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(model["weights"]) == 400 and peak < 48 * 300 * 20 * 50
+
+
 def brute_top(vectors, every=50, k=5):
     """Rows (id, vector) against all other rows, in Python's integers."""
     kept = [(i, [int(np.floor(256 * float(x))) for x in v]) for i, v in vectors if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
