@@ -177,7 +177,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 def _sets(texts: list) -> list:
     sets = shingle_sets(texts)
-    return [[_digest(s) for s in sets], [s.astype(np.int64).tolist() for s in sets]]
+    return [[_digest(s) for s in sets], [s.view(np.int64) for s in sets]]
 
 
 def _map_rows(df: DataFrame, columns: list, function, schema: str) -> DataFrame:

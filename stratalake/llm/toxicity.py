@@ -165,7 +165,9 @@ def clean_documents(docs: DataFrame, model: dict, threshold: float = THRESHOLD,
 
     def kept(batches):
         for batch in batches:
-            texts = batch.column(at).to_pylist()
-            yield batch.filter(pa.array([rated(t, shared.value)[0] < threshold for t in texts], pa.bool_()))
+            for start in range(0, batch.num_rows, 512):
+                part = batch.slice(start, 512)
+                texts = part.column(at).to_pylist()
+                yield part.filter(pa.array([rated(t, shared.value)[0] < threshold for t in texts], pa.bool_()))
 
     return docs.mapInArrow(kept, docs.schema)
